@@ -1,0 +1 @@
+"""Intentionally empty: every feed is a daily batch, so there is no streaming operator to offer."""
