@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.operators.keys import BROADCAST_BYTES, distinct_keys, same_key
+from siltgate.operators.keys import BROADCAST_BYTES, join_side, key_table, same_key, total_bytes
 
 CHUNK_COPIES = 10_000
 
@@ -46,5 +46,5 @@ def key_difference(
     Within the size bound `left` is not moved at all. Beyond it the join shuffles, and adaptive execution splits a
     key that holds a large part of `left`.
     """
-    keys = distinct_keys(right.dropna(subset=list(key)), key, broadcast_bytes=broadcast_bytes)
-    return left.join(keys, same_key(left, key), "left_anti")
+    keys = key_table(right.dropna(subset=list(key)), key)
+    return left.join(join_side(keys, total_bytes(keys), broadcast_bytes), same_key(left, key), "left_anti")

@@ -19,17 +19,21 @@ def key_bytes(key: Sequence[str]) -> Column:
     return reduce(lambda a, b: a + b, texts, F.lit(KEY_OVERHEAD_BYTES)).cast("long")
 
 
-def distinct_keys(
-    df: DataFrame, key: Sequence[str], *, broadcast_bytes: int, measured_bytes: int | None = None
-) -> DataFrame:
-    """The keys once each, in columns `_key0`, `_key1`, …; broadcast only if their measured size is in the bound."""
-    keys = df.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)]).distinct()
-    if measured_bytes is None:
-        measured_bytes = keys.agg(F.coalesce(F.sum(key_bytes(keys.columns)), F.lit(0))).first()[0]
-    return F.broadcast(keys) if measured_bytes <= broadcast_bytes else keys
+def key_table(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The keys of `df` once each, in columns `_key0`, `_key1`, …"""
+    return df.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)]).distinct()
+
+
+def total_bytes(keys: DataFrame) -> int:
+    return keys.agg(F.coalesce(F.sum(key_bytes(keys.columns)), F.lit(0))).first()[0]
+
+
+def join_side(keys: DataFrame, measured_bytes: int, broadcast_bytes: int) -> DataFrame:
+    """Broadcast the keys if their measured size is within the bound, else join by shuffle and sort, which spills."""
+    return F.broadcast(keys) if measured_bytes <= broadcast_bytes else keys.hint("merge")
 
 
 def same_key(df: DataFrame, key: Sequence[str], *, null_safe: bool = False) -> Column:
-    """Join condition between the key of `df` and the columns of `distinct_keys`."""
+    """Join condition between the key of `df` and the columns of `key_table`."""
     pairs = [(df[k], F.col(f"_key{i}")) for i, k in enumerate(key)]
     return reduce(lambda a, b: a & b, [old.eqNullSafe(new) if null_safe else old == new for old, new in pairs])

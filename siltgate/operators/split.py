@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,17 +45,32 @@ def stage_split(df: DataFrame, rules: Sequence[Rule], path: str) -> None:
     )
 
 
-def read_stage(
-    spark: SparkSession, path: str, schema: StructType, load_ts: datetime | Column
-) -> tuple[DataFrame, DataFrame]:
+@dataclass(frozen=True)
+class Stage:
+    """A staged split: both sides and their sizes, which come from file footers alone."""
+
+    good: DataFrame
+    bad: DataFrame
+    good_rows: int
+    bad_rows: int
+
+
+def read_stage(spark: SparkSession, path: str, schema: StructType, load_ts: datetime | Column) -> Stage:
     """Both sides of a staged split; `schema` is that of the judged rows."""
     verdict = StructType.fromDDL(f"{REASONS} array<string>, {REJECTED} boolean")
     staged = spark.read.schema(StructType(schema.fields + verdict.fields)).parquet(path)
     good = staged.filter(~F.col(REJECTED)).drop(REJECTED, REASONS, CORRUPT_COLUMN)
-    return load_stamp(good, load_ts), staged.filter(F.col(REJECTED)).drop(REJECTED)
+    rows = {r[REJECTED]: r["count"] for r in staged.groupBy(REJECTED).count().collect()}
+    return Stage(
+        load_stamp(good, load_ts),
+        staged.filter(F.col(REJECTED)).drop(REJECTED),
+        rows.get(False, 0),
+        rows.get(True, 0),
+    )
 
 
 def split_counts(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row with the numbers of accepted and rejected rows, from a single pass."""
     bad = rejected(rules, df.schema)
-    return df.agg(F.count_if(~bad).alias("good_rows"), F.count_if(bad).alias("bad_rows"))
+    bad_rows = F.count_if(bad)
+    return df.agg((F.count(F.lit(1)) - bad_rows).alias("good_rows"), bad_rows.alias("bad_rows"))

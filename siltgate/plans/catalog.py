@@ -16,7 +16,7 @@ from siltgate.functions.dates import business_date, load_stamp
 from siltgate.functions.rules import Blank, CodeLength, Rule, SpecialChar, scrub, special_chars
 from siltgate.operators.difference import key_difference, multiset_difference
 from siltgate.operators.latest import key_cast_sort, latest_per_key, preview
-from siltgate.operators.merge import append, scd1_touched, scd1_window
+from siltgate.operators.merge import append, measure_keys, scd1_touched, scd1_window
 from siltgate.operators.split import REASONS, special_char_split, split, split_counts
 from siltgate.plans.contracts import Contract
 from siltgate.plans.daily import Layout, read_loaded, run_load
@@ -283,6 +283,17 @@ def scd1_merge_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge_orders(spark, sf_dir, DAY_ONE, DAY_TWO, broadcast_bytes=-1)
 
 
+@register(LATEST_ORDERS_SQL)
+def scd1_merge_full_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day that brings most keys again: the few keys left over are broadcast instead."""
+    existing = _latest_orders(_orders(spark, sf_dir, DAY_ONE))
+    day = _orders(spark, sf_dir, DAY_TWO)
+    day_bytes = measure_keys(day, ["o_custkey"], "o_orderdate").bytes
+    return scd1_touched(
+        existing, day, ["o_custkey"], "o_orderdate", ["o_orderkey"], broadcast_bytes=day_bytes - 1
+    )
+
+
 @register(LATEST_ORDERS_SQL)
 def scd1_merge_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A late day: its rows are older than those of the snapshot."""

@@ -7,11 +7,11 @@ from datetime import datetime
 from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from siltgate.functions.dates import load_stamp
 from siltgate.functions.rules import scrub
 from siltgate.operators.keys import BROADCAST_BYTES
-from siltgate.operators.latest import key_cast_sort
 from siltgate.operators.merge import scd1
 from siltgate.operators.split import read_stage, stage_split
 from siltgate.plans.contracts import Contract
@@ -122,11 +122,11 @@ def run_load(
         if stage:
             judged = join_path(stage, "judged")
             stage_split(rows, contract.rules, judged)
-            good, bad = read_stage(spark, judged, rows.schema, load_ts)
-            good_rows, bad_rows = count_rows(good), count_rows(bad)
+            staged = read_stage(spark, judged, rows.schema, load_ts)
+            good, good_rows, bad_rows = staged.good, staged.good_rows, staged.bad_rows
             if contract.rules:
                 write_quarantine(
-                    bad,
+                    staged.bad,
                     layout.quarantine(source, run_date),
                     header=contract.quarantine_header,
                     mode=contract.quarantine_mode,
@@ -136,7 +136,7 @@ def run_load(
 
         merged = merge_day(spark, contract, base, prior_date, good, broadcast_bytes)
         if sort_by_key and contract.key:
-            merged = key_cast_sort(merged, contract.key[0], contract.key[1:])
+            merged = merged.sort(*[F.asc_nulls_first(k) for k in contract.key])
         unique = contract.key if contract.merge_mode == "scd1" and prior_date is not None else ()
         path = write_snapshot(merged, base, run_date, mode=snapshot_mode, unique_on=unique)
     finally:
