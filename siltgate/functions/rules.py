@@ -21,7 +21,7 @@ BLANK_VALUES = ("", "-1")
 SCRUB_VALUES = ("\\N", "none")
 BOOLEAN_WORDS = {True: ("y", "yes", "true", "t", "1"), False: ("n", "no", "false", "f", "0")}
 
-CORRUPT_COLUMN = "_corrupt_record"
+CORRUPT_COLUMN = "corrupt_line"
 
 Check = tuple[Column, Column]
 

@@ -389,7 +389,7 @@ def csv_scan_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = join_path(scratch_folder(spark), "feed")
     table(spark, sf_dir, "customer").select(broken, "c_name", "c_mktsegment").write.csv(folder)
     rows = scan_csv(spark, folder, "id bigint, name string, segment string", keep_corrupt=True)
-    return rows.withColumnRenamed("_corrupt_record", "corrupt")
+    return rows.withColumnRenamed("corrupt_line", "corrupt")
 
 
 DIRTY_SCHEMA = "c_custkey bigint, nm string, seg string, code2 string"

@@ -43,7 +43,7 @@ def scan_csv(
     """Read a CSV file, or all files of a folder, under a declared schema matched by position.
 
     Cells that do not fit their type are read as NULL. With `keep_corrupt` the raw text of such lines, and of lines
-    with too few or too many fields, is kept in `_corrupt_record`. `flags` are boolean columns delivered as words.
+    with too few or too many fields, is kept in `corrupt_line`. `flags` are boolean columns delivered as words.
     """
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     flagged = {f.lower() for f in flags}
