@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.operators.keys import BROADCAST_BYTES, join_side, key_table, same_key, total_bytes
+from siltgate.operators.keys import BROADCAST_BYTES, bounded_broadcast, key_table, same_key
 
 CHUNK_COPIES = 10_000
 
@@ -47,4 +47,4 @@ def key_difference(
     key that holds a large part of `left`.
     """
     keys = key_table(right.dropna(subset=list(key)), key)
-    return left.join(join_side(keys, total_bytes(keys), broadcast_bytes), same_key(left, key), "left_anti")
+    return left.join(bounded_broadcast(keys, broadcast_bytes), same_key(left, key), "left_anti")

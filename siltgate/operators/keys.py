@@ -24,13 +24,10 @@ def key_table(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)]).distinct()
 
 
-def total_bytes(keys: DataFrame) -> int:
-    return keys.agg(F.coalesce(F.sum(key_bytes(keys.columns)), F.lit(0))).first()[0]
-
-
-def join_side(keys: DataFrame, measured_bytes: int, broadcast_bytes: int) -> DataFrame:
+def bounded_broadcast(keys: DataFrame, broadcast_bytes: int) -> DataFrame:
     """Broadcast the keys if their measured size is within the bound, else join by shuffle and sort, which spills."""
-    return F.broadcast(keys) if measured_bytes <= broadcast_bytes else keys.hint("merge")
+    size = keys.agg(F.coalesce(F.sum(key_bytes(keys.columns)), F.lit(0))).first()[0]
+    return F.broadcast(keys) if size <= broadcast_bytes else keys.hint("merge")
 
 
 def same_key(df: DataFrame, key: Sequence[str], *, null_safe: bool = False) -> Column:

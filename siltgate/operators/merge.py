@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from siltgate.functions.rules import column_type
-from siltgate.operators.keys import BROADCAST_BYTES, join_side, key_bytes, key_table, same_key, total_bytes
+from siltgate.operators.keys import BROADCAST_BYTES, key_bytes, key_table, same_key
 from siltgate.operators.latest import latest_per_key
 
 
@@ -74,31 +74,27 @@ def scd1_touched(
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The same result as `scd1_window` where `existing` holds each key once, moving as little of it as possible.
+    """The same result as `scd1_window` where `existing` holds each key once, without moving the snapshot.
 
-    Rows of the snapshot whose key the day does not touch pass straight through when the keys that tell them apart
-    are small enough to broadcast: the keys of the day or, when the day brings most of the table again, the keys it
-    leaves untouched. Otherwise the snapshot is joined by shuffle. Touched old rows are compared with the new ones
-    only when the day holds a stamp that is not newer than the whole snapshot.
+    The day's keys are broadcast, and rows of the snapshot whose key the day does not touch pass straight through.
+    Touched old rows are compared with the new ones only when the day holds a stamp that is not newer than the whole
+    snapshot. A day with more keys than `broadcast_bytes` by measure is merged by `scd1_window`: so much of the table
+    changes then that moving it once is cheaper than joining it first.
     """
     day = measure_keys(new, key, stamp)
     if day.count == 0:
         return existing.select(*new.columns)
+    if day.bytes > broadcast_bytes:
+        return scd1_window(existing, new, key, stamp, tie_break)
     newest_old = existing.agg(F.max(_comparable(existing, stamp))).first()[0]
     all_newer = not day.has_null_stamp and (newest_old is None or day.oldest > newest_old)
 
-    keys = join_side(key_table(new, key), day.bytes, broadcast_bytes)
+    keys = F.broadcast(key_table(new, key))
     # Without NULL among the day's keys plain equality says the same and keeps the cheaper hash table.
     matches = same_key(existing, key, null_safe=day.has_null)
-    if all_newer:
-        newest_new = latest_per_key(new, key, stamp, tie_break)
-        if day.bytes > broadcast_bytes:
-            rest = key_table(existing.join(keys, matches, "left_anti"), key)
-            if total_bytes(rest) <= broadcast_bytes:
-                untouched = existing.join(F.broadcast(rest), same_key(existing, key, null_safe=True), "left_semi")
-                return append(untouched, newest_new)
-        return append(existing.join(keys, matches, "left_anti"), newest_new)
     untouched = existing.join(keys, matches, "left_anti")
+    if all_newer:
+        return append(untouched, latest_per_key(new, key, stamp, tie_break))
     touched = existing.join(keys, matches, "left_semi")
     return append(untouched, scd1_window(touched, new, key, stamp, tie_break))
 

@@ -279,13 +279,13 @@ def scd1_merge_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(LATEST_ORDERS_SQL)
 def scd1_merge_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """As if the keys of the day were too many to broadcast."""
+    """No broadcast allowed."""
     return _merge_orders(spark, sf_dir, DAY_ONE, DAY_TWO, broadcast_bytes=-1)
 
 
 @register(LATEST_ORDERS_SQL)
 def scd1_merge_full_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A day that brings most keys again: the few keys left over are broadcast instead."""
+    """A day whose keys by measure just exceed the bound."""
     existing = _latest_orders(_orders(spark, sf_dir, DAY_ONE))
     day = _orders(spark, sf_dir, DAY_TWO)
     day_bytes = measure_keys(day, ["o_custkey"], "o_orderdate").bytes

@@ -50,7 +50,7 @@ def test_outcome_does_not_depend_on_partitions(spark):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("bound", [merge.BROADCAST_BYTES, 0, "rest"])
+@pytest.mark.parametrize("bound", [merge.BROADCAST_BYTES, "below"])
 @pytest.mark.parametrize("late", [False, True])
 def test_touched_equals_window_equals_brute_force(spark, seed, bound, late):
     draw = random.Random(seed)
@@ -59,7 +59,7 @@ def test_touched_equals_window_equals_brute_force(spark, seed, bound, late):
     days = [at(2), at(4), at(6), None] if late else [at(6), at(7)]
     new = [(draw.choice(keys), draw.choice("abc"), draw.choice(days)) for _ in range(25)]
     existing, day = frame(spark, *old.values()), frame(spark, *new)
-    if bound == "rest":
+    if bound == "below":
         bound = measure_keys(day, ["k"], "time_stamp").bytes - 1
     expected = brute_force([*old.values(), *new])
     for merged in (
@@ -135,7 +135,10 @@ def test_fast_merge_does_not_shuffle_the_snapshot(spark, tmp_path):
 
 def test_keys_over_the_bound_are_not_broadcast(spark):
     old, day = frame(spark, *[(k, "o", at(1)) for k in range(50)]), frame(spark, (1, "n", at(2)))
-    assert "SortMergeJoin" in plan(scd1_touched(old, day, ["k"], broadcast_bytes=0))
+    size = measure_keys(day, ["k"], "time_stamp").bytes
+    assert "BroadcastHashJoin" in plan(scd1_touched(old, day, ["k"], broadcast_bytes=size))
+    assert "Join" not in plan(scd1_touched(old, day, ["k"], broadcast_bytes=size - 1))
+    assert "SortMergeJoin" in plan(key_difference(old, day, ["k"], broadcast_bytes=size - 1))
 
 
 def test_one_key_with_a_third_of_all_rows(spark):
