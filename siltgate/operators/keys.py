@@ -19,9 +19,14 @@ def key_bytes(key: Sequence[str]) -> Column:
     return reduce(lambda a, b: a + b, texts, F.lit(KEY_OVERHEAD_BYTES)).cast("long")
 
 
+def renamed_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The key of `df` in columns `_key0`, `_key1`, …"""
+    return df.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)])
+
+
 def key_table(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The keys of `df` once each, in columns `_key0`, `_key1`, …"""
-    return df.select(*[F.col(k).alias(f"_key{i}") for i, k in enumerate(key)]).distinct()
+    """The keys of `df` once each."""
+    return renamed_key(df, key).distinct()
 
 
 def bounded_broadcast(keys: DataFrame, broadcast_bytes: int) -> DataFrame:
@@ -31,6 +36,6 @@ def bounded_broadcast(keys: DataFrame, broadcast_bytes: int) -> DataFrame:
 
 
 def same_key(df: DataFrame, key: Sequence[str], *, null_safe: bool = False) -> Column:
-    """Join condition between the key of `df` and the columns of `key_table`."""
+    """Join condition between the key of `df` and the columns of `renamed_key`."""
     pairs = [(df[k], F.col(f"_key{i}")) for i, k in enumerate(key)]
     return reduce(lambda a, b: a & b, [old.eqNullSafe(new) if null_safe else old == new for old, new in pairs])

@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from siltgate.functions.rules import column_type
-from siltgate.operators.keys import BROADCAST_BYTES, key_bytes, key_table, same_key
+from siltgate.operators.keys import BROADCAST_BYTES, key_bytes, key_table, renamed_key, same_key
 from siltgate.operators.latest import latest_per_key
 
+# A bucket is crowded by a key that alone holds this part of an even share of the day's rows.
+CROWDING = 0.5
+
 
 def append(existing: DataFrame, new: DataFrame) -> DataFrame:
     """All rows of both, new first; columns are matched by name."""
@@ -37,6 +40,8 @@ class DayKeys:
     """What the merge has to know about the keys of a day."""
 
     count: int
+    rows: int
+    most_rows: int
     bytes: int
     has_null: bool
     oldest: Any
@@ -51,12 +56,16 @@ def _comparable(df: DataFrame, stamp: str) -> Column:
 def measure_keys(new: DataFrame, key: Sequence[str], stamp: str) -> DayKeys:
     """One aggregation over key and stamp columns only; a frequent key is combined before the shuffle."""
     per_key = new.groupBy(*key).agg(
-        F.min(_comparable(new, stamp)).alias("_oldest"), F.bool_or(F.col(stamp).isNull()).alias("_null_stamp")
+        F.count(F.lit(1)).alias("_rows"),
+        F.min(_comparable(new, stamp)).alias("_oldest"),
+        F.bool_or(F.col(stamp).isNull()).alias("_null_stamp"),
     )
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
     return DayKeys(
         *per_key.agg(
             F.count(F.lit(1)),
+            F.coalesce(F.sum("_rows"), F.lit(0)),
+            F.coalesce(F.max("_rows"), F.lit(0)),
             F.coalesce(F.sum(key_bytes(key)), F.lit(0)),
             F.coalesce(F.bool_or(any_null), F.lit(False)),
             F.min("_oldest"),
@@ -65,6 +74,12 @@ def measure_keys(new: DataFrame, key: Sequence[str], stamp: str) -> DayKeys:
     )
 
 
+def _all_newer(day: DayKeys, existing: DataFrame, stamp: str) -> bool:
+    """Whether every stamp of the day is newer than the whole snapshot, of which one column is read."""
+    newest_old = existing.agg(F.max(_comparable(existing, stamp))).first()[0]
+    return not day.has_null_stamp and (newest_old is None or day.oldest > newest_old)
+
+
 def scd1_touched(
     existing: DataFrame,
     new: DataFrame,
@@ -86,19 +101,48 @@ def scd1_touched(
         return existing.select(*new.columns)
     if day.bytes > broadcast_bytes:
         return scd1_window(existing, new, key, stamp, tie_break)
-    newest_old = existing.agg(F.max(_comparable(existing, stamp))).first()[0]
-    all_newer = not day.has_null_stamp and (newest_old is None or day.oldest > newest_old)
-
     keys = F.broadcast(key_table(new, key))
     # Without NULL among the day's keys plain equality says the same and keeps the cheaper hash table.
     matches = same_key(existing, key, null_safe=day.has_null)
     untouched = existing.join(keys, matches, "left_anti")
-    if all_newer:
+    if _all_newer(day, existing, stamp):
         return append(untouched, latest_per_key(new, key, stamp, tie_break))
     touched = existing.join(keys, matches, "left_semi")
     return append(untouched, scd1_window(touched, new, key, stamp, tie_break))
 
 
+def scd1_bucketed(
+    existing: DataFrame,
+    new: DataFrame,
+    key: Sequence[str],
+    buckets: int,
+    stamp: str = "time_stamp",
+    tie_break: Sequence[str] | None = None,
+) -> DataFrame:
+    """As `scd1_touched` for a snapshot laid out in `buckets` by hash of the key, for days of any size.
+
+    The day's rows are brought to the buckets, the snapshot stays where it is, and each bucket is probed against its
+    share of the day's keys. Where one key holds so many of the day's rows that it would crowd its bucket, the rows
+    are first reduced to one per key. The result is partitioned like the snapshot.
+    """
+    day = measure_keys(new, key, stamp)
+    if day.count == 0:
+        return existing.select(*new.columns)
+    if day.most_rows > CROWDING * day.rows / buckets:
+        newest_new = latest_per_key(new, key, stamp, tie_break).repartition(buckets, *key)
+        distinct = new.select(*key).distinct().repartition(buckets, *key)
+    else:
+        newest_new = latest_per_key(new.repartition(buckets, *key), key, stamp, tie_break)
+        distinct = new.select(*key).repartition(buckets, *key).distinct()
+    keys = renamed_key(distinct, key).hint("shuffle_hash")
+    matches = same_key(existing, key, null_safe=day.has_null)
+    untouched = existing.join(keys, matches, "left_anti")
+    if _all_newer(day, existing, stamp):
+        return append(untouched, newest_new)
+    touched = existing.join(keys, matches, "left_semi")
+    return append(untouched, scd1_window(touched, newest_new, key, stamp, tie_break))
+
+
 def scd1(
     existing: DataFrame,
     new: DataFrame,

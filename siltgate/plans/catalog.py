@@ -16,13 +16,19 @@ from siltgate.functions.dates import business_date, load_stamp
 from siltgate.functions.rules import Blank, CodeLength, Rule, SpecialChar, scrub, special_chars
 from siltgate.operators.difference import key_difference, multiset_difference
 from siltgate.operators.latest import key_cast_sort, latest_per_key, preview
-from siltgate.operators.merge import append, measure_keys, scd1_touched, scd1_window
+from siltgate.operators.merge import append, measure_keys, scd1_bucketed, scd1_touched, scd1_window
 from siltgate.operators.split import REASONS, special_char_split, split, split_counts
 from siltgate.plans.contracts import Contract
 from siltgate.plans.daily import Layout, read_loaded, run_load
 from siltgate.sources.feed import as_text, scan_csv
 from siltgate.sources.quarantine import read_quarantine, write_quarantine
-from siltgate.sources.snapshot import latest_prior_date, read_history, read_snapshot, write_snapshot
+from siltgate.sources.snapshot import (
+    latest_prior_date,
+    read_bucketed,
+    read_history,
+    read_snapshot,
+    write_snapshot,
+)
 from siltgate.sources.storage import join_path, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,6 +306,25 @@ def scd1_merge_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merge_orders(spark, sf_dir, DAY_TWO, DAY_ONE)
 
 
+@register(LATEST_ORDERS_SQL)
+def scd1_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots laid out by hash of the key before and after the merge."""
+    base, key = join_path(scratch_folder(spark), "orders"), ["o_custkey"]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    existing = _latest_orders(_orders(spark, sf_dir, DAY_ONE)).repartition(buckets, *key)
+    write_snapshot(existing, base, 20240101, unique_on=key, buckets=buckets)
+    merged = scd1_bucketed(
+        read_bucketed(spark, base, 20240101),
+        _orders(spark, sf_dir, DAY_TWO),
+        key,
+        buckets,
+        "o_orderdate",
+        ["o_orderkey"],
+    )
+    write_snapshot(merged, base, 20240102, unique_on=key, buckets=buckets)
+    return read_bucketed(spark, base, 20240102)
+
+
 @register(LATEST_LINES_SQL)
 def scd1_merge_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")

@@ -23,7 +23,8 @@ class Contract:
 
     `check_columns` are the columns the quality rule looks at; with none, no row is rejected or changed. Cells that
     do not fit the schema are NULL unless `keep_corrupt` sends their lines to quarantine. `append` sources store a
-    day's rows as that day's folder; the other modes store the whole table per day.
+    day's rows as that day's folder; the other modes store the whole table per day. With `buckets`, snapshots of an
+    `scd1` source are laid out by hash of the key, so that merging does not move them however much a day changes.
     """
 
     source: str
@@ -34,6 +35,7 @@ class Contract:
     merge_mode: Literal["scd1", "append", "full"] = "full"
     key: tuple[str, ...] = ()
     tie_break: tuple[str, ...] | None = None
+    buckets: int = 0
     header: bool = False
     flags: tuple[str, ...] = ()
     keep_corrupt: bool = False
@@ -45,6 +47,8 @@ class Contract:
     def __post_init__(self) -> None:
         if self.merge_mode == "scd1" and not self.key:
             raise ValueError(f"{self.source}: an scd1 source needs a key")
+        if self.buckets and self.merge_mode != "scd1":
+            raise ValueError(f"{self.source}: only scd1 snapshots can be bucketed")
 
     @property
     def rules(self) -> list[Rule]:

@@ -12,16 +12,18 @@ from pyspark.sql import functions as F
 from siltgate.functions.dates import load_stamp
 from siltgate.functions.rules import scrub
 from siltgate.operators.keys import BROADCAST_BYTES
-from siltgate.operators.merge import scd1
+from siltgate.operators.merge import scd1, scd1_bucketed
 from siltgate.operators.split import read_stage, stage_split
 from siltgate.plans.contracts import Contract
 from siltgate.sources.feed import scan_csv
 from siltgate.sources.quarantine import write_quarantine
 from siltgate.sources.snapshot import (
     DATE_COLUMN,
+    bucket_count,
     count_rows,
     is_unique_on,
     latest_prior_date,
+    read_bucketed,
     read_history,
     read_snapshot,
     write_snapshot,
@@ -86,14 +88,19 @@ def merge_day(
     if prior_date is None or contract.merge_mode != "scd1":
         return good
     existing = read_snapshot(spark, base, prior_date)
-    return scd1(
+    unique = is_unique_on(existing, contract.key)
+    if unique and contract.buckets and bucket_count(existing) == contract.buckets:
+        laid_out = read_bucketed(spark, base, prior_date)
+        return scd1_bucketed(laid_out, good, contract.key, contract.buckets, tie_break=contract.tie_break)
+    merged = scd1(
         existing,
         good,
         contract.key,
         tie_break=contract.tie_break,
-        existing_unique=is_unique_on(existing, contract.key),
+        existing_unique=unique,
         broadcast_bytes=broadcast_bytes,
     )
+    return merged.repartition(contract.buckets, *contract.key) if contract.buckets else merged
 
 
 def run_load(
@@ -110,7 +117,8 @@ def run_load(
 ) -> LoadReport:
     """Load the feed of `run_date`. A rerun replaces the snapshot of that date and no other.
 
-    Every snapshot is kept. `sort_by_key` also orders the snapshot by key as a whole, at the price of moving it.
+    Every snapshot is kept. `sort_by_key` also orders the snapshot by key as a whole, at the price of moving it and
+    of any bucketing.
     """
     source, base = contract.source, layout.snapshots(contract.source)
     rows = scan_feed(spark, contract, input_path or layout.feed(source, run_date))
@@ -137,8 +145,16 @@ def run_load(
         merged = merge_day(spark, contract, base, prior_date, good, broadcast_bytes)
         if sort_by_key and contract.key:
             merged = merged.sort(*[F.asc_nulls_first(k) for k in contract.key])
+        # A first load keeps repeated keys, so its snapshot is not yet unique.
         unique = contract.key if contract.merge_mode == "scd1" and prior_date is not None else ()
-        path = write_snapshot(merged, base, run_date, mode=snapshot_mode, unique_on=unique)
+        path = write_snapshot(
+            merged,
+            base,
+            run_date,
+            mode=snapshot_mode,
+            unique_on=unique,
+            buckets=contract.buckets if unique and not sort_by_key else 0,
+        )
     finally:
         if stage:
             remove(spark, stage)

@@ -7,15 +7,18 @@ makes reruns of a day safe.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from typing import Literal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.sources.storage import exists, join_path, subfolders
+from siltgate.sources.storage import exists, join_path, remove, subfolders
 
 DATE_COLUMN = "load_date"
 UNIQUE_ON = "unique_on"
+BUCKETS = "buckets"
 
 
 def snapshot_path(base: str, load_date: int) -> str:
@@ -27,39 +30,88 @@ def write_snapshot(
     base: str,
     load_date: int,
     *,
-    mode: str = "overwrite",
+    mode: Literal["overwrite", "errorifexists"] = "overwrite",
     unique_on: Sequence[str] = (),
+    buckets: int = 0,
     max_records_per_file: int = 0,
 ) -> str:
     """Write one snapshot; `errorifexists` refuses to replace a date. Returns its folder.
 
     Files follow the partitions of `df`, so the write adds no shuffle and no single-task funnel. `unique_on` notes a
-    key known to be unique in the schema, where parquet keeps it together with the rows.
+    key known to be unique in the schema, where parquet keeps it together with the rows. With `buckets` the rows of a
+    snapshot unique on its key are also laid out in that many files by hash of the key; `df` should be partitioned
+    alike, as each of its tasks writes one file per bucket it holds.
     """
     path = snapshot_path(base, load_date)
-    (
-        _note_key(df.drop(DATE_COLUMN), unique_on)
-        .write.mode(mode)
+    noted = _note_key(df.drop(DATE_COLUMN), unique_on, buckets)
+    writer = (
+        noted.write.format("parquet")
+        .mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", True)
-        .parquet(path)
     )
+    if not buckets:
+        writer.save(path)
+        return path
+    spark = df.sparkSession
+    if exists(spark, path):
+        if mode == "errorifexists":
+            raise FileExistsError(path)
+        remove(spark, path)
+    name = _table_name()
+    writer.bucketBy(buckets, *unique_on).option("path", path).saveAsTable(name)
+    spark.sql(f"DROP TABLE {name}")
     return path
 
 
-def _note_key(df: DataFrame, unique_on: Sequence[str]) -> DataFrame:
+def _note_key(df: DataFrame, unique_on: Sequence[str], buckets: int) -> DataFrame:
+    note = {UNIQUE_ON: list(unique_on), BUCKETS: buckets}
     for field in df.schema.fields:
         noted = field.name.lower() == unique_on[0].lower() if unique_on else False
         if noted or UNIQUE_ON in field.metadata:
-            kept = {k: v for k, v in field.metadata.items() if k != UNIQUE_ON}
-            df = df.withMetadata(field.name, {**kept, UNIQUE_ON: list(unique_on)} if noted else kept)
+            kept = {k: v for k, v in field.metadata.items() if k not in note}
+            df = df.withMetadata(field.name, {**kept, **note} if noted else kept)
     return df
 
 
+def _note_of(snapshot: DataFrame) -> dict:
+    return next((f.metadata for f in snapshot.schema.fields if UNIQUE_ON in f.metadata), {})
+
+
 def is_unique_on(snapshot: DataFrame, key: Sequence[str]) -> bool:
     """Whether a snapshot was written as unique on `key`. Meant for a frame as read, not for one derived from it."""
-    noted = next((f.metadata[UNIQUE_ON] for f in snapshot.schema.fields if UNIQUE_ON in f.metadata), [])
-    return bool(noted) and {k.lower() for k in noted} == {k.lower() for k in key}
+    return [k.lower() for k in _note_of(snapshot).get(UNIQUE_ON, [])] == [k.lower() for k in key]
+
+
+def bucket_count(snapshot: DataFrame) -> int:
+    """In how many buckets by its unique key a snapshot was written, 0 if in none."""
+    return _note_of(snapshot).get(BUCKETS, 0)
+
+
+def _table_name() -> str:
+    return f"siltgate_{uuid.uuid4().hex}"
+
+
+def read_bucketed(spark: SparkSession, base: str, load_date: int) -> DataFrame:
+    """A bucketed snapshot such that Spark knows its layout.
+
+    Spark takes the layout from its catalog only, so the folder is entered there, as an external table, for as long
+    as it takes to open it.
+    """
+    path = snapshot_path(base, load_date)
+    plain = spark.read.parquet(path)
+    note = _note_of(plain)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+    key = ", ".join(f"`{k}`" for k in note[UNIQUE_ON])
+    name = _table_name()
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet"
+        f" CLUSTERED BY ({key}) INTO {note[BUCKETS]} BUCKETS LOCATION '{path}'"
+    )
+    try:
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 def _dates_below(spark: SparkSession, base: str) -> list[int]:

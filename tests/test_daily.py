@@ -10,7 +10,7 @@ from siltgate.plans import daily
 from siltgate.plans.contracts import DAILY, SINGLE_FILE, Contract
 from siltgate.plans.daily import Layout, read_loaded, run_load
 from siltgate.sources.quarantine import read_quarantine
-from siltgate.sources.snapshot import is_unique_on, read_snapshot, snapshot_dates
+from siltgate.sources.snapshot import bucket_count, is_unique_on, read_snapshot, snapshot_dates
 from siltgate.sources.storage import exists, scratch_folder
 
 
@@ -75,6 +75,21 @@ def test_rerun_of_a_day_changes_only_that_day(spark, layout):
     assert {d: bag(read_snapshot(spark, base, d)) for d in snapshot_dates(spark, base)} == before
 
 
+def test_bucketed_source_gives_the_same_table(spark, layout, tmp_path):
+    plain, bucketed = DAILY["airline"], replace(DAILY["airline"], buckets=4)
+    other = Layout(layout.input_base, str(tmp_path / "out2"), str(tmp_path / "bad2"))
+    for day in (1, 2, 3, 4):
+        put(layout, "airline", 20240100 + day, *[airline(k, f"day{day}") for k in range(day, 12, day)], airline(1))
+        reports = [
+            run_load(spark, contract, place, 20240100 + day, at(day))
+            for contract, place in ((plain, layout), (bucketed, other))
+        ]
+        assert reports[0].total_rows == reports[1].total_rows
+    base = other.snapshots("airline")
+    assert [bucket_count(read_snapshot(spark, base, 20240100 + d)) for d in (1, 2, 3, 4)] == [0, 4, 4, 4]
+    assert bag(read_loaded(spark, plain, layout, 20240104)) == bag(read_loaded(spark, bucketed, other, 20240104))
+
+
 def test_guarded_load_refuses_a_second_run(spark, layout):
     put(layout, "plane", 20240101, "A,B,C")
     run_load(spark, DAILY["plane"], layout, 20240101, at(1), snapshot_mode="errorifexists")

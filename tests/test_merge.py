@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from siltgate.operators import merge
 from siltgate.operators.difference import key_difference, multiset_difference
 from siltgate.operators.latest import key_cast_sort, latest_per_key, preview
-from siltgate.operators.merge import append, measure_keys, scd1, scd1_touched, scd1_window
+from siltgate.operators.merge import append, measure_keys, scd1, scd1_bucketed, scd1_touched, scd1_window
+from siltgate.sources.snapshot import read_bucketed, read_snapshot, write_snapshot
 
 DDL = "k int, v string, time_stamp timestamp"
 
@@ -69,6 +70,36 @@ def test_touched_equals_window_equals_brute_force(spark, seed, bound, late):
         assert sorted((tuple(r) for r in merged.collect()), key=str) == expected
 
 
+@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("late", [False, True])
+@pytest.mark.parametrize("hot", [False, True])
+def test_bucketed_equals_brute_force(spark, tmp_path, seed, late, hot):
+    draw = random.Random(seed)
+    keys = [*range(12)] + [None] * seed
+    old = {k: (k, draw.choice("abc"), draw.choice([at(3), at(4)])) for k in draw.sample(keys, 9)}
+    days = [at(2), at(4), at(6), None] if late else [at(6), at(7)]
+    new = [(3 if hot and i % 2 else draw.choice(keys), draw.choice("abc"), draw.choice(days)) for i in range(40)]
+    base = str(tmp_path)
+    write_snapshot(frame(spark, *old.values()).repartition(4, "k"), base, 1, unique_on=["k"], buckets=4)
+    existing = read_bucketed(spark, base, 1)
+    merged = scd1_bucketed(existing, frame(spark, *new), ["k"], 4)
+    write_snapshot(merged, base, 2, unique_on=["k"], buckets=4)
+    for df in (merged, read_bucketed(spark, base, 2), read_snapshot(spark, base, 2)):
+        assert sorted((tuple(r) for r in df.collect()), key=str) == brute_force([*old.values(), *new])
+    if not late and None not in keys:
+        text = plan(merged)
+        probe = text[text.index("ShuffledHashJoin") :]
+        assert "Bucketed: true" in probe and "LeftAnti" in probe
+        assert "Exchange" not in probe[: probe.index("Bucketed: true")]
+        assert len(read_snapshot(spark, base, 2).inputFiles()) <= 4
+
+
+def test_bucketed_with_an_empty_day(spark, tmp_path):
+    write_snapshot(frame(spark, (1, "a", at(1))), str(tmp_path), 1, unique_on=["k"], buckets=4)
+    existing = read_bucketed(spark, str(tmp_path), 1)
+    assert bag(scd1_bucketed(existing, existing.filter("k < 0"), ["k"], 4)) == {(1, "a", at(1)): 1}
+
+
 def test_two_column_keys_with_nulls(spark):
     ddl = "a int, b string, time_stamp timestamp"
     old = frame(spark, (1, "x", at(1)), (1, None, at(1)), (None, None, at(1)), (2, "y", at(1)), ddl=ddl)

@@ -3,8 +3,10 @@ from helpers import bag, plan
 from pyspark.errors import AnalysisException
 
 from siltgate.sources.snapshot import (
+    bucket_count,
     is_unique_on,
     latest_prior_date,
+    read_bucketed,
     read_history,
     read_snapshot,
     snapshot_dates,
@@ -99,3 +101,20 @@ def test_scratch_is_below_the_session_checkpoint_folder(spark):
     assert first.rsplit("/", 1)[1] in subfolders(spark, root)
     remove(spark, first)
     assert not exists(spark, first) and exists(spark, second)
+
+
+def test_bucketed_snapshot(spark, base):
+    write_snapshot(rows(spark, 100).repartition(4, "k"), base, 20240101, unique_on=["k"], buckets=4)
+    plain = read_snapshot(spark, base, 20240101)
+    assert is_unique_on(plain, ["k"]) and bucket_count(plain) == 4
+    assert latest_prior_date(spark, base, 20240102) == 20240101
+    laid_out = read_bucketed(spark, base, 20240101)
+    assert bag(laid_out) == bag(plain)
+    assert "Exchange" not in plan(laid_out.groupBy("k").count())
+    assert spark.sql("SHOW TABLES").filter("tableName LIKE 'siltgate%'").count() == 0
+    with pytest.raises(FileExistsError):
+        write_snapshot(rows(spark, 1), base, 20240101, mode="errorifexists", unique_on=["k"], buckets=4)
+    write_snapshot(rows(spark, 5), base, 20240101, unique_on=["k"], buckets=4)
+    assert read_bucketed(spark, base, 20240101).count() == 5
+    write_snapshot(read_snapshot(spark, base, 20240101), base, 20240102)
+    assert bucket_count(read_snapshot(spark, base, 20240102)) == 0
