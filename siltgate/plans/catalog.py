@@ -336,13 +336,14 @@ ORDER_TEXT_SQL = "CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a' ELSE CAST(o_ord
 
 
 @register(
-    f"SELECT TRY_CAST({ORDER_TEXT_SQL} AS INTEGER) AS order_no, o_custkey, o_orderdate FROM orders"
-    " ORDER BY order_no NULLS FIRST, o_custkey, o_orderdate"
+    f"SELECT coalesce(TRY_CAST({ORDER_TEXT_SQL} AS INTEGER), -1) AS order_no, o_custkey, o_orderdate FROM orders"
+    " ORDER BY order_no, o_custkey, o_orderdate"
 )
 def key_cast_sort_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("o_orderpriority") == "5-LOW", "n/a").otherwise(F.col("o_orderkey").cast("string"))
     orders = table(spark, sf_dir, "orders").select(text.alias("order_no"), "o_custkey", "o_orderdate")
-    return key_cast_sort(orders, "order_no", ["o_custkey", "o_orderdate"])
+    ordered = key_cast_sort(orders, "order_no", ["o_custkey", "o_orderdate"])
+    return ordered.withColumn("order_no", F.coalesce("order_no", F.lit(-1)))
 
 
 @register(f"SELECT * FROM ({LATEST_ORDERS_SQL}) ORDER BY o_custkey NULLS FIRST LIMIT 1000")
@@ -400,7 +401,7 @@ BROKEN_KEY_SQL = "CASE WHEN c_mktsegment = 'BUILDING' THEN 'x' || c_custkey ELSE
 
 @register(
     f"""
-    SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_custkey END AS id, c_name AS name,
+    SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN -1 ELSE c_custkey END AS id, c_name AS name,
            c_mktsegment AS segment,
            CASE WHEN c_mktsegment = 'BUILDING' THEN {BROKEN_KEY_SQL} || ',' || c_name || ',' || c_mktsegment
                 END AS corrupt
@@ -414,7 +415,7 @@ def csv_scan_corrupt(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = join_path(scratch_folder(spark), "feed")
     table(spark, sf_dir, "customer").select(broken, "c_name", "c_mktsegment").write.csv(folder)
     rows = scan_csv(spark, folder, "id bigint, name string, segment string", keep_corrupt=True)
-    return rows.withColumnRenamed("corrupt_line", "corrupt")
+    return rows.withColumnRenamed("corrupt_line", "corrupt").withColumn("id", F.coalesce("id", F.lit(-1)))
 
 
 DIRTY_SCHEMA = "c_custkey bigint, nm string, seg string, code2 string"
