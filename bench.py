@@ -27,12 +27,13 @@ HEADLINE = [
     "dq_counts",
     "quarantine_difference",
     "quarantine_antijoin",
-    "latest_per_key_orders",
+    "latest_per_key",
     "latest_per_key_lineitem",
     "scd1_merge_window",
     "scd1_merge_antijoin",
+    "scd1_merge_bucketed",
     "scd1_merge_lineitem",
-    "key_cast_sort_orders",
+    "key_cast_sort",
     "preview_limit",
     "append_snapshot",
     "snapshot_read_pruned",

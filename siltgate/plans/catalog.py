@@ -37,10 +37,10 @@ QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 
 
-def register(sql: str) -> Callable[[Query], Query]:
+def register(sql: str, name: str | None = None) -> Callable[[Query], Query]:
     def add(query: Query) -> Query:
-        QUERIES[query.__name__] = query
-        SQL[query.__name__] = sql
+        QUERIES[name or query.__name__] = query
+        SQL[name or query.__name__] = sql
         return query
 
     return add
@@ -192,8 +192,8 @@ def scrub_to_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scrub(dirty_customer(spark, sf_dir), ["seg"])
 
 
-@register(f"SELECT *, {STAMP_SQL} AS time_stamp FROM customer")
-def load_stamp_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+@register(f"SELECT *, {STAMP_SQL} AS time_stamp FROM customer", "load_stamp")
+def stamped_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_stamp(table(spark, sf_dir, "customer"), stamp())
 
 
@@ -261,8 +261,8 @@ def _merge_orders(spark: SparkSession, sf_dir: str, old: str, new: str, **option
     return scd1_touched(existing, day, ["o_custkey"], "o_orderdate", ["o_orderkey"], **options)
 
 
-@register(LATEST_ORDERS_SQL)
-def latest_per_key_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+@register(LATEST_ORDERS_SQL, "latest_per_key")
+def latest_order_per_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _latest_orders(table(spark, sf_dir, "orders"))
 
 
@@ -337,9 +337,10 @@ ORDER_TEXT_SQL = "CASE WHEN o_orderpriority = '5-LOW' THEN 'n/a' ELSE CAST(o_ord
 
 @register(
     f"SELECT coalesce(TRY_CAST({ORDER_TEXT_SQL} AS INTEGER), -1) AS order_no, o_custkey, o_orderdate FROM orders"
-    " ORDER BY order_no, o_custkey, o_orderdate"
+    " ORDER BY order_no, o_custkey, o_orderdate",
+    "key_cast_sort",
 )
-def key_cast_sort_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.when(F.col("o_orderpriority") == "5-LOW", "n/a").otherwise(F.col("o_orderkey").cast("string"))
     orders = table(spark, sf_dir, "orders").select(text.alias("order_no"), "o_custkey", "o_orderdate")
     ordered = key_cast_sort(orders, "order_no", ["o_custkey", "o_orderdate"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from siltgate.sources.feed import as_text
+from siltgate.sources.storage import WITH_MARKER, mode_for
 
 # Doubled quotes instead of backslash escapes, and no trimming, so that any single-line value survives a round trip.
 _FORMAT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -16,7 +17,12 @@ _EMPTY = "\x01"
 
 def write_quarantine(bad: DataFrame, path: str, *, header: bool = False, mode: str = "ignore") -> None:
     """Write rejected rows. Mode `ignore` keeps what an earlier run left there, `overwrite` replaces it."""
-    as_text(bad).write.mode(mode).options(header=header, **_FORMAT).csv(path)
+    (
+        as_text(bad)
+        .write.mode(mode_for(bad.sparkSession, path, mode))
+        .options(header=header, **_FORMAT, **WITH_MARKER)
+        .csv(path)
+    )
 
 
 def read_quarantine(spark: SparkSession, path: str, schema: StructType | str, *, header: bool = False) -> DataFrame:

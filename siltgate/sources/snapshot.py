@@ -14,7 +14,7 @@ from typing import Literal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.sources.storage import exists, join_path, remove, subfolders
+from siltgate.sources.storage import WITH_MARKER, exists, is_complete, join_path, mode_for, remove, subfolders
 
 DATE_COLUMN = "load_date"
 UNIQUE_ON = "unique_on"
@@ -42,18 +42,17 @@ def write_snapshot(
     snapshot unique on its key are also laid out in that many files by hash of the key; `df` should be partitioned
     alike, as each of its tasks writes one file per bucket it holds.
     """
-    path = snapshot_path(base, load_date)
+    spark, path = df.sparkSession, snapshot_path(base, load_date)
+    mode = mode_for(spark, path, mode)
     noted = _note_key(df.drop(DATE_COLUMN), unique_on, buckets)
     writer = (
         noted.write.format("parquet")
         .mode(mode)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", True)
+        .options(maxRecordsPerFile=max_records_per_file, **WITH_MARKER)
     )
     if not buckets:
         writer.save(path)
         return path
-    spark = df.sparkSession
     if exists(spark, path):
         if mode == "errorifexists":
             raise FileExistsError(path)
@@ -119,19 +118,15 @@ def _dates_below(spark: SparkSession, base: str) -> list[int]:
     return sorted(int(n.removeprefix(prefix)) for n in subfolders(spark, base) if n.startswith(prefix))
 
 
-def _is_complete(spark: SparkSession, base: str, load_date: int) -> bool:
-    return exists(spark, join_path(snapshot_path(base, load_date), "_SUCCESS"))
-
-
 def snapshot_dates(spark: SparkSession, base: str) -> list[int]:
     """Dates of the complete snapshots, ascending. Lists folder names only; no data file is opened."""
-    return [d for d in _dates_below(spark, base) if _is_complete(spark, base, d)]
+    return [d for d in _dates_below(spark, base) if is_complete(spark, snapshot_path(base, d))]
 
 
 def latest_prior_date(spark: SparkSession, base: str, run_date: int) -> int | None:
     """Latest complete snapshot before the run date, or None for a first load. Missing days are skipped."""
     earlier = [d for d in _dates_below(spark, base) if d < run_date]
-    return next((d for d in reversed(earlier) if _is_complete(spark, base, d)), None)
+    return next((d for d in reversed(earlier) if is_complete(spark, snapshot_path(base, d))), None)
 
 
 def read_snapshot(spark: SparkSession, base: str, load_date: int) -> DataFrame:

@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+# Write option for the `_SUCCESS` marker, which a cluster may have turned off.
+WITH_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": True}
+
 
 def join_path(*parts: str | int) -> str:
     first, *rest = [str(p) for p in parts]
@@ -23,6 +26,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark job has written this folder to the end."""
+    return exists(spark, join_path(path, "_SUCCESS"))
+
+
+def mode_for(spark: SparkSession, path: str, mode: str) -> str:
+    """The save mode to use: what a job that died left behind does not count as being there."""
+    return "overwrite" if exists(spark, path) and not is_complete(spark, path) else mode
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below `path`, none if it does not exist. Not recursive."""
     fs, hadoop_path = _open(spark, path)

@@ -1,7 +1,10 @@
+from types import SimpleNamespace
+
 import pytest
 from helpers import bag, plan
 from pyspark.errors import AnalysisException
 
+from siltgate.sources.quarantine import read_quarantine, write_quarantine
 from siltgate.sources.snapshot import (
     bucket_count,
     is_unique_on,
@@ -41,6 +44,18 @@ def test_unfinished_snapshot_does_not_count(spark, base):
     remove(spark, join_path(died, "_SUCCESS"))
     assert latest_prior_date(spark, base, 20240103) == 20240101
     assert read_history(spark, base).count() == 3
+    write_snapshot(rows(spark, 7), base, 20240102, mode="errorifexists")
+    assert latest_prior_date(spark, base, 20240103) == 20240102
+    assert read_snapshot(spark, base, 20240102).count() == 7
+
+
+def test_unfinished_quarantine_is_replaced(spark, base):
+    write_quarantine(rows(spark, 3), base)
+    write_quarantine(rows(spark, 4), base)
+    assert read_quarantine(spark, base, "k bigint").count() == 3
+    remove(spark, join_path(base, "_SUCCESS"))
+    write_quarantine(rows(spark, 4), base)
+    assert read_quarantine(spark, base, "k bigint").count() == 4
 
 
 def test_overwrite_touches_one_date_only(spark, base):
@@ -118,3 +133,11 @@ def test_bucketed_snapshot(spark, base):
     assert read_bucketed(spark, base, 20240101).count() == 5
     write_snapshot(read_snapshot(spark, base, 20240101), base, 20240102)
     assert bucket_count(read_snapshot(spark, base, 20240102)) == 0
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077"])
+def test_cluster_without_checkpoint_folder_is_refused(master):
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master=master)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_folder(session)
