@@ -74,6 +74,17 @@ def measure_keys(new: DataFrame, key: Sequence[str], stamp: str) -> DayKeys:
     )
 
 
+def _untouched(existing: DataFrame, keys: DataFrame, key: Sequence[str], has_null: bool) -> DataFrame:
+    """Rows of the snapshot whose key is not among the day's.
+
+    A join that takes NULL for equal to NULL compares derived values, for which neither buckets nor the cheapest hash
+    table serve. It is used only for keys of several columns with NULL among them.
+    """
+    if has_null and len(key) == 1:
+        existing, has_null = existing.filter(F.col(key[0]).isNotNull()), False
+    return existing.join(keys, same_key(existing, key, null_safe=has_null), "left_anti")
+
+
 def _all_newer(day: DayKeys, existing: DataFrame, stamp: str) -> bool:
     """Whether every stamp of the day is newer than the whole snapshot, of which one column is read."""
     newest_old = existing.agg(F.max(_comparable(existing, stamp))).first()[0]
@@ -102,12 +113,10 @@ def scd1_touched(
     if day.bytes > broadcast_bytes:
         return scd1_window(existing, new, key, stamp, tie_break)
     keys = F.broadcast(key_table(new, key))
-    # Without NULL among the day's keys plain equality says the same and keeps the cheaper hash table.
-    matches = same_key(existing, key, null_safe=day.has_null)
-    untouched = existing.join(keys, matches, "left_anti")
+    untouched = _untouched(existing, keys, key, day.has_null)
     if _all_newer(day, existing, stamp):
         return append(untouched, latest_per_key(new, key, stamp, tie_break))
-    touched = existing.join(keys, matches, "left_semi")
+    touched = existing.join(keys, same_key(existing, key, null_safe=day.has_null), "left_semi")
     return append(untouched, scd1_window(touched, new, key, stamp, tie_break))
 
 
@@ -135,11 +144,10 @@ def scd1_bucketed(
         newest_new = latest_per_key(new.repartition(buckets, *key), key, stamp, tie_break)
         distinct = new.select(*key).repartition(buckets, *key).distinct()
     keys = renamed_key(distinct, key).hint("shuffle_hash")
-    matches = same_key(existing, key, null_safe=day.has_null)
-    untouched = existing.join(keys, matches, "left_anti")
+    untouched = _untouched(existing, keys, key, day.has_null)
     if _all_newer(day, existing, stamp):
         return append(untouched, newest_new)
-    touched = existing.join(keys, matches, "left_semi")
+    touched = existing.join(keys, same_key(existing, key, null_safe=day.has_null), "left_semi")
     return append(untouched, scd1_window(touched, newest_new, key, stamp, tie_break))
 
 
