@@ -19,7 +19,7 @@ from pyspark.sql.types import DataType, NumericType, StringType, StructType
 SPECIAL_CHAR_PATTERN = r"[^A-Za-z0-9|*\s]"
 BLANK_VALUES = ("", "-1")
 SCRUB_VALUES = ("\\N", "none")
-BOOLEAN_WORDS = {True: ("y", "yes", "true", "t", "1"), False: ("n", "no", "false", "f", "0")}
+BOOLEAN_WORDS = {True: ("y", "true"), False: ("n", "false")}
 
 CORRUPT_COLUMN = "corrupt_line"
 
@@ -135,6 +135,6 @@ def scrub(df: DataFrame, columns: Sequence[str], values: tuple[str, ...] = SCRUB
 
 
 def boolean_flag(name: str) -> Column:
-    """A flag delivered as text (`Y`/`N`, `true`/`false`, …) as a boolean; other texts become NULL."""
+    """A flag delivered as text (`Y`/`N` or `true`/`false`, in any case) as a boolean; other texts become NULL."""
     word = F.lower(F.trim(F.col(name)))
     return F.when(word.isin(*BOOLEAN_WORDS[True]), F.lit(True)).when(word.isin(*BOOLEAN_WORDS[False]), F.lit(False))

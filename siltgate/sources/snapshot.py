@@ -102,10 +102,10 @@ def read_bucketed(spark: SparkSession, base: str, load_date: int) -> DataFrame:
     note = _note_of(plain)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
     key = ", ".join(f"`{k}`" for k in note[UNIQUE_ON])
-    name = _table_name()
+    name, location = _table_name(), path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet"
-        f" CLUSTERED BY ({key}) INTO {note[BUCKETS]} BUCKETS LOCATION '{path}'"
+        f" CLUSTERED BY ({key}) INTO {note[BUCKETS]} BUCKETS LOCATION '{location}'"
     )
     try:
         return spark.table(name)

@@ -20,7 +20,7 @@ from siltgate.sources.storage import exists, join_path, remove, scratch_folder,
 
 @pytest.fixture
 def base(tmp_path):
-    return str(tmp_path / "Bronze" / "airline")
+    return str(tmp_path / "Bronze's" / "airline")
 
 
 def rows(spark, n):
