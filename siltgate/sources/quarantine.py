@@ -9,10 +9,11 @@ from pyspark.sql.types import StringType, StructType
 from siltgate.sources.feed import as_text
 from siltgate.sources.storage import WITH_MARKER, mode_for
 
-# Doubled quotes instead of backslash escapes, and no trimming, so that any single-line value survives a round trip.
+# Doubled quotes instead of backslash escapes, and no trimming, so that any single-line text survives a round trip.
+# Feeds are read line by line, so none of their texts holds a line break.
 _FORMAT = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 # Stands for a quoted empty text while reading; Spark would take `""` for its NULL mark otherwise.
-_EMPTY = "\x01"
+_EMPTY = "\x01empty\x01"
 
 
 def write_quarantine(bad: DataFrame, path: str, *, header: bool = False, mode: str = "ignore") -> None:

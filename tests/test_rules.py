@@ -1,3 +1,6 @@
+from datetime import date, datetime
+from itertools import product
+
 import pytest
 from helpers import at, bag
 from pyspark.sql import functions as F
@@ -5,7 +8,6 @@ from pyspark.sql import functions as F
 from siltgate.functions import Blank, CodeLength, SpecialChar, boolean_flag, rejected, reject_reasons, scrub
 from siltgate.functions import business_date, date_key, previous_date_key, run_date_for, special_chars
 from siltgate.operators.split import special_char_split, split, split_counts
-from datetime import date, datetime
 
 
 def one(spark, ddl, *values):
@@ -121,9 +123,7 @@ def test_no_rule_accepts_all(spark):
 
 def test_split_conserves_every_row(spark):
     values = [None, "", "-1", "\\N", "none", "AB", "A-B", "Ä", "a|*\t"]
-    left = spark.createDataFrame([(v,) for v in values], "a string")
-    right = spark.createDataFrame([(v,) for v in values], "b string")
-    df = left.join(right, F.lit(True)).union(left.join(right, F.lit(True)))
+    df = spark.createDataFrame(list(product(values, values)) * 2, "a string, b string")
     for rules in (
         [SpecialChar(("a", "b"))],
         [Blank(("a", "b"))],
