@@ -545,7 +545,8 @@ def _daily(spark: SparkSession, sf_dir: str, contract: Contract, days: tuple[int
 def _days_sql(days: tuple[int, ...]) -> str:
     """The feeds as read from CSV, where an empty text is NULL."""
     return " UNION ALL ".join(
-        f"SELECT c_custkey + {40 * nth} AS c_custkey, nm, nullif(seg, '') AS seg, code2, TIMESTAMP '{STAMPS[day]}' AS time_stamp FROM dirty"
+        f"SELECT c_custkey + {40 * nth} AS c_custkey, nm, nullif(seg, '') AS seg, code2,"
+        f" TIMESTAMP '{STAMPS[day]}' AS time_stamp FROM dirty"
         for nth, day in enumerate(days)
     )
 

@@ -113,6 +113,7 @@ def run_load(
     input_path: str | None = None,
     snapshot_mode: Literal["overwrite", "errorifexists"] = "overwrite",
     sort_by_key: bool = False,
+    max_records_per_file: int = 0,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> LoadReport:
     """Load the feed of `run_date`. A rerun replaces the snapshot of that date and no other.
@@ -144,7 +145,9 @@ def run_load(
 
         merged = merge_day(spark, contract, base, prior_date, good, broadcast_bytes)
         if sort_by_key and contract.key:
-            merged = merged.sort(*[F.asc_nulls_first(k) for k in contract.key])
+            # The columns beside the key let range partitioning cut through a key that a first load holds often.
+            others = [c for c in merged.columns if c.lower() not in {k.lower() for k in contract.key}]
+            merged = merged.sort(*[F.asc_nulls_first(c) for c in [*contract.key, *others]])
         # A first load keeps repeated keys, so its snapshot is not yet unique.
         unique = contract.key if contract.merge_mode == "scd1" and prior_date is not None else ()
         path = write_snapshot(
@@ -154,6 +157,7 @@ def run_load(
             mode=snapshot_mode,
             unique_on=unique,
             buckets=contract.buckets if unique and not sort_by_key else 0,
+            max_records_per_file=max_records_per_file,
         )
     finally:
         if stage:

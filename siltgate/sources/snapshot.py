@@ -58,8 +58,10 @@ def write_snapshot(
             raise FileExistsError(path)
         remove(spark, path)
     name = _table_name()
-    writer.bucketBy(buckets, *unique_on).option("path", path).saveAsTable(name)
-    spark.sql(f"DROP TABLE {name}")
+    try:
+        writer.bucketBy(buckets, *unique_on).option("path", path).saveAsTable(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     return path
 
 

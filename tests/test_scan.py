@@ -83,8 +83,8 @@ def test_contracts_name_real_columns(spark, contracts):
 
 
 def test_quarantine_round_trip_of_awkward_texts(spark, tmp_path):
-    texts = ["", None, " lead", "trail ", 'say "hi"', "a,b", "back\\", 'mix\\"ed, ', "\\N", '""', "'", "#x", "é", "\x01",
-             "tab\t", 'a "quoted," part', '"', ',"', '",']
+    texts = ["", None, " lead", "trail ", 'say "hi"', "a,b", "back\\", 'mix\\"ed, ', "\\N", '""', "'", "#x", "é",
+             "\x01", "tab\t", 'a "quoted," part', '"', ',"', '",']
     rows = [(i, t, ["blank:a", "x;y"]) for i, t in enumerate(texts)]
     bad = spark.createDataFrame(rows, "id int, a string, reject_reasons array<string>")
     for header in (True, False):
