@@ -1,8 +1,8 @@
 """Quality rules as Spark columns.
 
 A rule yields checks, each a pair of Columns: a predicate that is true for an offending row and the text of the
-reason. Predicates are never NULL, so a row is always on exactly one side of the split, and they are cheaper than
-the reasons, which are built for offending rows only.
+reason. Predicates test for NULL first and so are never NULL: a row is always on exactly one side of the split. They
+are cheaper than the reasons, which are built for offending rows only.
 """
 
 from __future__ import annotations
@@ -44,10 +44,6 @@ def special_chars(columns: Sequence[str]) -> Column:
     return F.concat(*[first_special_char(c) for c in columns]) if columns else F.lit("")
 
 
-def _holds(predicate: Column) -> Column:
-    return F.coalesce(predicate, F.lit(False))
-
-
 @dataclass(frozen=True)
 class SpecialChar:
     """Offends when a column holds a character other than ASCII letters, digits, `|`, `*` and whitespace."""
@@ -57,7 +53,7 @@ class SpecialChar:
     def checks(self, schema: StructType) -> list[Check]:
         return [
             (
-                _holds(F.col(c).cast("string").rlike(SPECIAL_CHAR_PATTERN)),
+                F.col(c).isNotNull() & F.col(c).cast("string").rlike(SPECIAL_CHAR_PATTERN),
                 F.concat(F.lit(f"special_char:{c}:"), first_special_char(c)),
             )
             for c in self.columns
@@ -77,10 +73,10 @@ class Blank:
     def _blank(self, name: str, data_type: DataType) -> Column:
         column = F.col(name)
         if isinstance(data_type, StringType):
-            return column.isNull() | _holds(column.isin(*self.values))
+            return column.isNull() | column.isin(*self.values)
         if isinstance(data_type, NumericType):
             numbers = [int(v) for v in self.values if v.lstrip("-").isdigit()]
-            return column.isNull() | _holds(column.isin(*numbers)) if numbers else column.isNull()
+            return column.isNull() | column.isin(*numbers) if numbers else column.isNull()
         return column.isNull()
 
 
@@ -92,7 +88,7 @@ class CodeLength:
 
     def checks(self, schema: StructType) -> list[Check]:
         return [
-            (F.coalesce(F.length(F.col(c)) != n, F.lit(True)), F.lit(f"code_length:{c}"))
+            (F.col(c).isNull() | (F.length(F.col(c)) != n), F.lit(f"code_length:{c}"))
             for c, n in self.lengths.items()
         ]
 

@@ -184,6 +184,13 @@ def reject_reasons_all_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(_split(spark, sf_dir, SPECIAL, BLANK, LENGTH)[1])
 
 
+@register(f"WITH {DIRTY_SQL} SELECT * FROM dirty")
+def split_conserves_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and rejected rows together are the input."""
+    good, bad = _split(spark, sf_dir, SPECIAL, BLANK, LENGTH)
+    return good.drop("time_stamp").unionByName(bad.drop(REASONS))
+
+
 @register(
     f"WITH {DIRTY_SQL} SELECT c_custkey, nm,"
     r" CASE WHEN seg IS NULL OR seg IN ('\N', 'none') THEN '' ELSE seg END AS seg, code2 FROM dirty"

@@ -2,7 +2,7 @@ from datetime import date, datetime
 from itertools import product
 
 import pytest
-from helpers import at, bag
+from helpers import at, bag, plan
 from pyspark.sql import functions as F
 
 from siltgate.functions import Blank, CodeLength, SpecialChar, boolean_flag, rejected, reject_reasons, scrub
@@ -150,3 +150,13 @@ def test_dates(spark):
     assert date_key(date(2024, 2, 3)) == 20240203
     df = spark.sql("SELECT timestamp_ntz'2024-01-01 00:30:00' AS ts")
     assert df.select(business_date(F.col("ts"))).first()[0] == 20231230
+
+
+def test_null_and_placeholder_tests_reach_the_parquet_scan(spark, tmp_path):
+    one(spark, "a string, b string", "x", "yy").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    good, _ = split(df, [Blank(("a",)), CodeLength({"b": 2})], at(1))
+    text = plan(good)
+    pushed = text[text.index("PushedFilters") : text.index("ReadSchema")]
+    assert "IsNotNull(a)" in pushed and "IsNotNull(b)" in pushed and "Not(" in pushed
+    assert "Exchange" not in text
