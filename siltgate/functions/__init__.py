@@ -2,9 +2,9 @@
 
 from siltgate.functions.dates import business_date, date_key, load_stamp, previous_date_key, run_date_for
 from siltgate.functions.rules import (
+    ALLOWED_CHARACTERS,
     BLANK_VALUES,
     SCRUB_VALUES,
-    SPECIAL_CHAR_PATTERN,
     Blank,
     CodeLength,
     Corrupt,
@@ -17,9 +17,9 @@ from siltgate.functions.rules import (
 )
 
 __all__ = [
+    "ALLOWED_CHARACTERS",
     "BLANK_VALUES",
     "SCRUB_VALUES",
-    "SPECIAL_CHAR_PATTERN",
     "Blank",
     "CodeLength",
     "Corrupt",

@@ -29,6 +29,9 @@ def one(spark, ddl, *values):
         ("back\\slash", "\\"),
         ("no break", " "),
         ("plane \U0001f6e9 -", "\U0001f6e9"),
+        ("two\nlines\r\n-", "-"),
+        ("\x0b\x0c\x85", "\x85"),
+        ("word " * 2000 + "é", "é"),
     ],
 )
 def test_special_char(spark, text, found):
