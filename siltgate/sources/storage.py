@@ -31,17 +31,31 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return exists(spark, join_path(path, "_SUCCESS"))
 
 
-def mode_for(spark: SparkSession, path: str, mode: str) -> str:
-    """The save mode to use: what a job that died left behind does not count as being there."""
-    return "overwrite" if exists(spark, path) and not is_complete(spark, path) else mode
+def _entries(spark: SparkSession, path: str) -> dict[str, bool]:
+    """What lies directly below `path`: names, and whether they are folders. Not recursive."""
+    fs, hadoop_path = _open(spark, path)
+    if not fs.exists(hadoop_path):
+        return {}
+    return {s.getPath().getName(): s.isDirectory() for s in fs.listStatus(hadoop_path)}
 
 
 def subfolders(spark: SparkSession, path: str) -> list[str]:
-    """Names of the folders directly below `path`, none if it does not exist. Not recursive."""
-    fs, hadoop_path = _open(spark, path)
-    if not fs.exists(hadoop_path):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path) if s.isDirectory())
+    """Names of the folders directly below `path`, none if it does not exist."""
+    return sorted(name for name, is_folder in _entries(spark, path).items() if is_folder)
+
+
+def mode_for(spark: SparkSession, path: str, mode: str) -> str:
+    """The save mode to use: what a job that died left behind does not count as being there.
+
+    Such remains are known by the folder in which committers keep unfinished work, or by the lack of any file. Files
+    without a marker may be anything, so they are neither replaced nor taken for a finished result.
+    """
+    if mode == "overwrite" or not exists(spark, path) or is_complete(spark, path):
+        return mode
+    names = _entries(spark, path)
+    if all(n.startswith(("_", ".")) for n in names) or any(n.startswith(("_temporary", "__magic")) for n in names):
+        return "overwrite"
+    raise FileExistsError(f"{path} holds files but no _SUCCESS marker: remove it or overwrite it")
 
 
 def remove(spark: SparkSession, path: str) -> None:

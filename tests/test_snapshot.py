@@ -1,3 +1,4 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -38,10 +39,15 @@ def test_dates_and_gaps(spark, base):
     assert latest_prior_date(spark, base, 20231231) is None
 
 
+def die_half_way(spark, path):
+    """Leave a folder as a job leaves it whose driver is lost while it commits."""
+    remove(spark, join_path(path, "_SUCCESS"))
+    (Path(path) / "_temporary" / "0").mkdir(parents=True)
+
+
 def test_unfinished_snapshot_does_not_count(spark, base):
     write_snapshot(rows(spark, 3), base, 20240101)
-    died = write_snapshot(rows(spark, 5), base, 20240102)
-    remove(spark, join_path(died, "_SUCCESS"))
+    die_half_way(spark, write_snapshot(rows(spark, 5), base, 20240102))
     assert latest_prior_date(spark, base, 20240103) == 20240101
     assert read_history(spark, base).count() == 3
     write_snapshot(rows(spark, 7), base, 20240102, mode="errorifexists")
@@ -53,11 +59,26 @@ def test_unfinished_quarantine_is_replaced(spark, base):
     write_quarantine(rows(spark, 3), base)
     write_quarantine(rows(spark, 4), base)
     assert read_quarantine(spark, base, "k bigint").count() == 3
-    remove(spark, join_path(base, "_SUCCESS"))
+    die_half_way(spark, base)
     write_quarantine(rows(spark, 4), base)
     assert read_quarantine(spark, base, "k bigint").count() == 4
 
 
+@pytest.mark.parametrize("mode", ["ignore", "errorifexists"])
+def test_files_of_unknown_origin_are_neither_replaced_nor_trusted(spark, base, mode):
+    Path(base).mkdir(parents=True)
+    (Path(base) / "theirs.csv").write_text("1\n")
+    with pytest.raises(FileExistsError, match="no _SUCCESS"):
+        write_quarantine(rows(spark, 3), base, mode=mode)
+    assert (Path(base) / "theirs.csv").read_text() == "1\n"
+
+
+def test_empty_folder_does_not_count(spark, base):
+    Path(base).mkdir(parents=True)
+    write_quarantine(rows(spark, 3), base)
+    assert read_quarantine(spark, base, "k bigint").count() == 3
+
+
 def test_overwrite_touches_one_date_only(spark, base):
     write_snapshot(rows(spark, 3), base, 20240101)
     write_snapshot(rows(spark, 5), base, 20240102)
