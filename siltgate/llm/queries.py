@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from siltgate.llm.cascade import judge
+from siltgate.llm.decontamination import contaminated
 from siltgate.llm.minhash import near_duplicates
-from siltgate.llm.packing import PIECES, pack_documents
+from siltgate.llm.packing import pack_documents
+from siltgate.llm.secrets import scan_secrets
+from siltgate.llm.substring import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,5 +29,28 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("print")
 
 
-QUERIES: dict[str, Query] = {q.__name__: q for q in (op1_packing, op6_minhash)}
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("mark")
+
+
+def op8_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+    )
+
+
+def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES: dict[str, Query] = {
+    q.__name__: q
+    for q in (op1_packing, op2_decontamination, op6_minhash, op8_cascade, op9_secrets, op10_substring)
+}
 SQL: dict[str, str] = {}
