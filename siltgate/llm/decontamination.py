@@ -25,6 +25,11 @@ def words(text: Column) -> Column:
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
 
 
+def computed_once(value: Column) -> Column:
+    """A generated column: the optimizer does not copy its expression to where the column is used, as in lambdas."""
+    return F.explode(F.array(value))
+
+
 def shingles(found: Column, size: int) -> Column:
     """The distinct shingles as text; of fewer words than `size`, the whole is the only one."""
     starts = F.sequence(F.lit(1), F.size(found) - size + 1)
@@ -60,9 +65,9 @@ def item_sketches(items: DataFrame, how: Containment) -> DataFrame:
     An item of n shingles is contained if at least c = ceil(percent * n / 100) of them are in the document. Its sketch
     is its n - c + 1 least hashes, so that every document that contains it holds at least one of them.
     """
-    split = items.select("item_id", "text", words(F.col("text")).alias("found"))
+    split = items.select("item_id", "text", computed_once(words(F.col("text"))).alias("found"))
     every = F.array_sort(F.array_distinct(hashes(F.col("found"), how.shingle)))
-    sized = split.select("item_id", "text", every.alias("all")).withColumn("size", F.size("all")).where("size > 0")
+    sized = split.select("item_id", "text", computed_once(every).alias("all")).withColumn("size", F.size("all")).where("size > 0")
     least = F.col("size") - F.ceil(F.col("size") * how.percent / 100).cast("int") + 1
     return sized.select(
         "item_id",
@@ -95,9 +100,8 @@ def contaminated(docs: DataFrame, items: DataFrame, how: Containment = Containme
     sketches = scratch.keep(item_sketches(tests, how))
     bound = sketches.groupBy("size_class").agg(F.min("size").alias("least"), F.max("hash").alias("reach"))
     classes = bound.orderBy("size_class").collect()  # one row for each power of two
-    # Words first, in a projection of their own: within the lambda they would be split anew for every shingle.
-    split = texts.select("doc_id", "mark", words(F.col("text")).alias("found"))
-    hashed = split.select("doc_id", "mark", hashes(F.col("found"), how.shingle).alias("found"))
+    split = texts.select("doc_id", "mark", computed_once(words(F.col("text"))).alias("found"))
+    hashed = split.select("doc_id", "mark", computed_once(hashes(F.col("found"), how.shingle)).alias("found"))
     sized = hashed.withColumn("n", F.size("found")).where("n > 0")
     reach = F.lit(-(2**63))
     top = -(2**63)
@@ -121,12 +125,12 @@ def _confirmed(texts: DataFrame, tests: DataFrame, pairs: DataFrame, how: Contai
     hit = texts.join(marks, texts["doc_id"].eqNullSafe(marks["p_id"]) & (texts["mark"] == marks["p_mark"]), "left_semi")
     # Equal texts have equal answers, so each text is searched once for each item.
     of_text = hit.groupBy("mark").agg(F.first("text").alias("text"))
-    of_text = of_text.select(F.col("mark").alias("t_mark"), words(F.col("text")).alias("found"))
+    of_text = of_text.select(F.col("mark").alias("t_mark"), computed_once(words(F.col("text"))).alias("found"))
     of_text = of_text.select("t_mark", shingles(F.col("found"), how.shingle).alias("held"))
     of_item = tests.select(
         F.col("item_id").alias("i_id"),
         F.xxhash64("text").alias("i_mark"),
-        words(F.col("text")).alias("found"),
+        computed_once(words(F.col("text"))).alias("found"),
     )
     of_item = of_item.select("i_id", "i_mark", shingles(F.col("found"), how.shingle).alias("sought"))
     sought = pairs.select("mark", "item_id", "item_mark").distinct()

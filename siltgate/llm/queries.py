@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltgate.llm import cotraining, language, toxicity
 from siltgate.llm.cascade import judge
 from siltgate.llm.decontamination import contaminated
 from siltgate.llm.minhash import near_duplicates
 from siltgate.llm.packing import pack_documents
+from siltgate.llm.preferences import format_preferences, swapped_answers
 from siltgate.llm.secrets import scan_secrets
 from siltgate.llm.substring import remove_repeats
 
@@ -25,6 +27,37 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def remainder(by: int) -> Column:
+    """Of the checksum of a document's id as text; splits documents into those learned from and those held out."""
+    return F.crc32(F.col("doc_id").cast("string")) % by
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs, F.coalesce(remainder(4) != 2, F.lit(False)))
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
+    held_out = F.coalesce(remainder(5) == 0, F.lit(False))
+    scored = toxicity.score_toxicity(docs, model, with_spans=False)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return format_preferences(*swapped_answers(table(spark, sf_dir, "conversations")))
+
+
+def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotraining.score_quality(docs, cotraining.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("print")
 
@@ -51,6 +84,17 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     q.__name__: q
-    for q in (op1_packing, op2_decontamination, op6_minhash, op8_cascade, op9_secrets, op10_substring)
+    for q in (
+        op1_packing,
+        op2_decontamination,
+        op3_language,
+        op4_toxicity,
+        op5_preferences,
+        op6_minhash,
+        op7_cotraining,
+        op8_cascade,
+        op9_secrets,
+        op10_substring,
+    )
 }
 SQL: dict[str, str] = {}

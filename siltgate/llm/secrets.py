@@ -15,6 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from siltgate.llm.text import columns, encoded, per_batch
 
@@ -215,8 +216,8 @@ def _listed(spans: list[tuple[int, int, str]]) -> str:
 
 
 def _scan(how: Unwrapping):
-    def work(ids: list, texts: list) -> dict[str, list]:
-        out: dict[str, list] = {"doc_id": ids}
+    def work(ids: list, marks: list, texts: list) -> dict[str, list]:
+        out: dict[str, list] = {"doc_id": ids, "mark": marks}
         names = ("n_assign", "n_access", "n_hex", "base_spans", "spans", "n_layers", "n_skipped", "redacted")
         rows = []
         for text in texts:
@@ -231,7 +232,7 @@ def _scan(how: Unwrapping):
 
 
 def scan_secrets(docs: DataFrame, how: Unwrapping = Unwrapping()) -> DataFrame:
-    """Each row of (doc_id, text) with the secrets in it: counts, spans, and the text without them.
+    """Each row of (doc_id, text) with the secrets in it: counts, spans, and the text without them; mark is its xxhash64.
 
     `base_spans` are those of the text itself; `spans` adds those found after decoding URL and Unicode escapes,
     base64 and compressed streams, in any nesting, named `kind~layer+layer…` and given by the place in the document
@@ -241,9 +242,10 @@ def scan_secrets(docs: DataFrame, how: Unwrapping = Unwrapping()) -> DataFrame:
     NULL text has no secrets, empty lists and NULL as `redacted`. Rows that repeat are scanned each, ids are passed
     on, NULL too. Texts are scanned whole; `n_skipped` counts layers over the bound of `Unwrapping`.
     """
+    texts = columns(docs, doc_id="long", text="string")
     return per_batch(
-        columns(docs, doc_id="long", text="string"),
-        "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string, n_layers long,"
+        texts.select("doc_id", F.xxhash64("text").alias("mark"), "text"),
+        "doc_id long, mark long, n_assign long, n_access long, n_hex long, base_spans string, spans string, n_layers long,"
         " n_skipped long, redacted string",
         lambda: _scan(how),
     )

@@ -28,7 +28,8 @@ from siltgate.llm.text import (
 class Sketch:
     """Words of a window; cells of each of the sketch's rows; cells of the blocks it is merged in.
 
-    The merged sketch is broadcast as one bit per cell, `depth * 2**cell_bits / 8` bytes whatever the input: 128 MB.
+    The merged sketch is broadcast as one bit per cell, `depth * 2**cell_bits / 8` bytes whatever the input: 128 MB in
+    memory, and compressed on the way, which leaves a few MB of it where most cells are empty.
     Beyond some 2**cell_bits windows it lets more and more windows through that occur once, and the exact pass gets
     more rows, but its result stays the same. Use more bits for more words if executors have the memory.
     """
@@ -106,19 +107,23 @@ def _merge(sketch: Sketch):
     return run
 
 
-def repeated_cells(texts: DataFrame, sketch: Sketch) -> list[np.ndarray]:
-    """For each row of the merged sketch, a bit per cell: whether windows were counted there at least twice."""
+def repeated_cells(texts: DataFrame, sketch: Sketch) -> list[tuple[int, int, bytes]]:
+    """The merged sketch: for each row and block, compressed, a bit per cell for windows counted at least twice."""
     blocks = texts.select("text").mapInArrow(_sketches(sketch), "depth int, block int, cells binary")
     merged = (
         blocks.repartition("depth", "block")
         .sortWithinPartitions("depth", "block")
         .mapInArrow(_merge(sketch), "depth int, block int, repeated binary")
     )
+    return [(row["depth"], row["block"], bytes(row["repeated"])) for row in merged.collect()]
+
+
+def _unpacked(cells: list[tuple[int, int, bytes]], sketch: Sketch) -> list[np.ndarray]:
     each = (1 << sketch.block_bits) // 8
     rows = [np.zeros((1 << sketch.cell_bits) // 8, np.uint8) for _ in range(sketch.depth)]
     unpacker = zstandard.ZstdDecompressor()
-    for depth, block, packed in merged.toLocalIterator():
-        rows[depth][block * each : (block + 1) * each] = np.frombuffer(unpacker.decompress(bytes(packed)), np.uint8)
+    for depth, block, packed in cells:
+        rows[depth][block * each : (block + 1) * each] = np.frombuffer(unpacker.decompress(packed), np.uint8)
     return rows
 
 
@@ -167,7 +172,7 @@ def _candidates(cells, sketch: Sketch):
         }
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = cells.value
+        bits = _unpacked(cells.value, sketch)
         held, windows = [], 0
         for batch in batches:
             for doc_id, mark, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):

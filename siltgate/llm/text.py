@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from siltgate.operators.keys import BROADCAST_BYTES
 from siltgate.sources.storage import join_path, scratch_folder
 
 _SPACES = np.zeros(256, bool)
@@ -115,6 +116,14 @@ def per_batch(frame: DataFrame, schema: str, prepare: Callable[[], Callable[...,
     return frame.mapInArrow(run, schema)
 
 
+def without(docs: DataFrame, rejected: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, but those whose id and text are in `rejected` (doc_id, mark), a stored table."""
+    few = rejected.count() * 64 <= BROADCAST_BYTES
+    bad = rejected.select(F.col("doc_id").alias("_bad_id"), F.col("mark").alias("_bad_mark"))
+    same = docs["doc_id"].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs[text]) == bad["_bad_mark"])
+    return docs.join(F.broadcast(bad) if few else bad, same, "left_anti")
+
+
 class Scratch:
     """Intermediate tables as Parquet below the session's shared checkpoint folder."""
 
