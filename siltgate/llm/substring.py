@@ -8,7 +8,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltgate.llm.text import (
@@ -20,8 +20,10 @@ from siltgate.llm.text import (
     per_batch,
     record_batch,
     window_hashes,
+    without,
     word_hashes,
 )
+from siltgate.operators.keys import BROADCAST_BYTES
 
 
 @dataclass(frozen=True)
@@ -38,7 +40,7 @@ class Sketch:
     depth: int = 2
     cell_bits: int = 29
     block_bits: int = 22
-    chunk_windows: int = 1 << 21
+    chunk_windows: int = 1 << 22
 
 
 def _cells(hashes: np.ndarray, row: int, sketch: Sketch) -> np.ndarray:
@@ -58,7 +60,9 @@ def _emit(hashes: np.ndarray, sketch: Sketch) -> dict[str, list]:
             gaps = np.diff(marked[first:end], prepend=np.uint32(0)).astype("<u4")
             out["depth"].append(row)
             out["block"].append(int(blocks[first]))
-            out["cells"].append(packer.compress(gaps.tobytes()))
+            # All low bytes, then all next ones: the high ones are nearly all zero.
+            planes = np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 4).T)
+            out["cells"].append(packer.compress(planes.tobytes()))
     return out
 
 
@@ -98,7 +102,8 @@ def _merge(sketch: Sketch):
                         yield bits(current, counts)
                     current = (depth, block)
                     counts[:] = 0
-                marked = np.cumsum(np.frombuffer(unpacker.decompress(cells), "<u4"), dtype=np.uint32)
+                planes = np.frombuffer(unpacker.decompress(cells), np.uint8).reshape(4, -1)
+                marked = np.cumsum(np.ascontiguousarray(planes.T).view("<u4")[:, 0], dtype=np.uint32)
                 places = marked >> np.uint32(1)
                 counts[places] = np.minimum(counts[places] + 1 + (marked & np.uint32(1)), 2)
         if current is not None:
@@ -135,6 +140,7 @@ def _maybe_repeated(hashes: np.ndarray, cells: list[np.ndarray], sketch: Sketch)
     return places
 
 
+WHOLE = -1  # instead of starts: all windows
 CANDIDATES = "h1 long, h2 int, doc_id long, mark long, start int, covered array<int>"
 
 
@@ -163,8 +169,9 @@ def _candidates(cells, sketch: Sketch):
         by_document = np.split(later, np.flatnonzero(np.diff(owner[later])) + 1) if len(later) else []
         n = len(by_document)
         return {
-            "h1": [*h1[firsts].view(np.int64).tolist(), *[None] * n],
-            "h2": [*h2[firsts].view(np.int32).tolist(), *[None] * n],
+            # Rows of covered windows are grouped with nothing; the document's mark only spreads them.
+            "h1": [*h1[firsts].view(np.int64).tolist(), *[held[owner[b[0]]][1] for b in by_document]],
+            "h2": [*h2[firsts].view(np.int32).tolist(), *[0] * n],
             "doc_id": [*ids, *[held[owner[b[0]]][0] for b in by_document]],
             "mark": [*marks[owner[firsts]].tolist(), *[held[owner[b[0]]][1] for b in by_document]],
             "start": [*starts[firsts].tolist(), *[None] * n],
@@ -199,12 +206,14 @@ def _removed(sketch: Sketch):
             words = encoded(text).split()
             removed = 0
             out["n_words"].append(len(words))
-            if starts:
-                steps = np.zeros(len(words) + 1, np.int32)
-                starts = np.unique(np.array(starts))
-                steps[starts] += 1
-                steps[starts + sketch.window] -= 1
-                gone = np.cumsum(steps[:-1]) > 0
+            if starts and len(words) >= sketch.window:
+                gone = np.ones(len(words), bool)
+                if starts[0] != WHOLE:
+                    steps = np.zeros(len(words) + 1, np.int32)
+                    starts = np.unique(np.array(starts))
+                    steps[starts] += 1
+                    steps[starts + sketch.window] -= 1
+                    gone = np.cumsum(steps[:-1]) > 0
                 removed = int(gone.sum())
                 words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
             out["n_removed"].append(removed)
@@ -214,13 +223,26 @@ def _removed(sketch: Sketch):
     return work
 
 
+def _later_copies(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Documents (doc_id, mark) whose whole text, by 96 bits of hashes, is also that of an earlier document."""
+    named = texts.select("doc_id", "mark", F.hash("text").alias("mark2")).where("text is not null")
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")
+    groups = named.groupBy("mark", "mark2").agg(F.min(place).alias("first"), F.max(place).alias("other"))
+    copied = scratch.keep(groups.where("first <> other").select("mark", "mark2", "first"))
+    few = copied.count() * 80 <= BROADCAST_BYTES
+    later = named.join(F.broadcast(copied) if few else copied, ["mark", "mark2"]).where(place != F.col("first"))
+    return scratch.keep(later.select("doc_id", "mark").distinct())
+
+
 def remove_repeats(docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
     """Each row of (doc_id, text) without the words that lie in a window of words that also starts earlier.
 
-    Earlier means in a document of smaller `doc_id`, or before in the same one. Two passes over all windows: the
-    tasks' count-min sketches are merged block by block, and as counts are only ever overestimated, a window that the
-    merged sketch counts once occurs once. The second pass groups the others exactly, by 96 bits of hashes of their
-    words. Passages that a great many documents share are sent once by each chunk of documents.
+    Earlier means in a document of smaller `doc_id`, or before in the same one. Whole copies of an earlier document go
+    first: all their windows start earlier, and the first of the copies stands for them. Then come two passes over all
+    windows of the others. The tasks' count-min sketches are merged block by block, and as counts are only ever
+    overestimated, a window that the merged sketch counts once occurs once. The second pass groups the others exactly,
+    by 96 bits of hashes of their words, in one shuffle. A passage that a great many documents share is sent once by
+    each chunk of documents.
 
     Returns doc_id, n_words, n_removed and kept_text, the kept words joined by one space. NULL text has no words and
     the empty kept_text; texts under 20 words have no window. A NULL `doc_id` counts as later than any other. Rows
@@ -230,17 +252,22 @@ def remove_repeats(docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark)
     texts = columns(docs, doc_id="long", text="string").withColumn("mark", F.xxhash64("text"))
-    cells = spark.sparkContext.broadcast(repeated_cells(texts, sketch))
-    found = scratch.keep(texts.select("doc_id", "mark", "text").mapInArrow(_candidates(cells, sketch), CANDIDATES))
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "mark", "start")
-    single = found.where("h1 is not null").select("h1", "h2", place.alias("place"))
-    several = single.groupBy("h1", "h2").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = single.join(several.drop("n"), ["h1", "h2"]).where("place <> first")
-    starts = later.groupBy("place.doc_id", "place.mark").agg(F.collect_set("place.start").alias("covered"))
-    known = found.where("covered is not null").select("doc_id", "mark", "covered")
+    copies = _later_copies(texts, scratch)
+    single = without(texts, copies)
+    cells = spark.sparkContext.broadcast(repeated_cells(single, sketch))
+    found = single.select("doc_id", "mark", "text").mapInArrow(_candidates(cells, sketch), CANDIDATES)
+    same_window = Window.partitionBy(F.col("covered").isNull(), "h1", "h2").orderBy(
+        F.col("doc_id").isNull(), "doc_id", "mark", "start"
+    )
+    ranked = found.withColumn("nth", F.row_number().over(same_window)).where("covered is not null or nth > 1")
     covered = (
-        known.union(starts.select("doc_id", "mark", "covered"))
-        .groupBy(F.col("doc_id").alias("c_id"), F.col("mark").alias("c_mark"))
+        ranked.select(
+            F.col("doc_id").alias("c_id"),
+            F.col("mark").alias("c_mark"),
+            F.coalesce("covered", F.array("start")).alias("covered"),
+        )
+        .union(copies.select("doc_id", "mark", F.array(F.lit(WHOLE))))
+        .groupBy("c_id", "c_mark")
         .agg(F.flatten(F.collect_set("covered")).alias("covered"))
     )
     same = texts["doc_id"].eqNullSafe(F.col("c_id")) & (texts["mark"] == F.col("c_mark"))
