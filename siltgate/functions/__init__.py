@@ -1,37 +1 @@
 """Column expressions: quality rules, dates and stamps. All of them stay inside generated code."""
-
-from siltgate.functions.dates import business_date, date_key, load_stamp, previous_date_key, run_date_for
-from siltgate.functions.rules import (
-    ALLOWED_CHARACTERS,
-    BLANK_VALUES,
-    SCRUB_VALUES,
-    Blank,
-    CodeLength,
-    Corrupt,
-    SpecialChar,
-    boolean_flag,
-    rejected,
-    reject_reasons,
-    scrub,
-    special_chars,
-)
-
-__all__ = [
-    "ALLOWED_CHARACTERS",
-    "BLANK_VALUES",
-    "SCRUB_VALUES",
-    "Blank",
-    "CodeLength",
-    "Corrupt",
-    "SpecialChar",
-    "boolean_flag",
-    "business_date",
-    "date_key",
-    "load_stamp",
-    "previous_date_key",
-    "reject_reasons",
-    "rejected",
-    "run_date_for",
-    "scrub",
-    "special_chars",
-]

@@ -7,13 +7,15 @@ are cheaper than the reasons, which are built for offending rows only.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType, StringType, StructType
+from pyspark.sql.types import DataType, DecimalType, IntegralType, NumericType, StringType, StructType
 
 # Fixed values.
 ALLOWED_CHARACTERS = r"A-Za-z0-9|*\s"
@@ -61,9 +63,24 @@ class SpecialChar:
         ]
 
 
+def _as_number(text: str, data_type: NumericType) -> int | Decimal | float | None:
+    """A placeholder as a number of the column's type, None if no value of that type can equal it."""
+    if not re.fullmatch(r"[+-]?(\d+(\.\d*)?|\.\d+)", text):
+        return None
+    value = Decimal(text)
+    if value == value.to_integral_value():
+        return int(value)
+    if isinstance(data_type, IntegralType):
+        return None
+    return value if isinstance(data_type, DecimalType) else float(value)
+
+
 @dataclass(frozen=True)
 class Blank:
-    """Offends when a column is NULL or a placeholder. Numbers are compared by value, other types only with NULL."""
+    """Offends when a column is NULL or a placeholder. Numbers are compared by value, other types only with NULL.
+
+    Placeholders that are no numbers, such as the empty text, say nothing about numeric columns.
+    """
 
     columns: tuple[str, ...]
     values: tuple[str, ...] = BLANK_VALUES
@@ -76,7 +93,7 @@ class Blank:
         if isinstance(data_type, StringType):
             return column.isNull() | column.isin(*self.values)
         if isinstance(data_type, NumericType):
-            numbers = [int(v) for v in self.values if v.lstrip("-").isdigit()]
+            numbers = [n for v in self.values if (n := _as_number(v, data_type)) is not None]
             return column.isNull() | column.isin(*numbers) if numbers else column.isNull()
         return column.isNull()
 
@@ -125,7 +142,8 @@ def reject_reasons(rules: Iterable[Rule], schema: StructType) -> Column:
 
 def scrub(df: DataFrame, columns: Sequence[str], values: tuple[str, ...] = SCRUB_VALUES) -> DataFrame:
     """NULL and placeholders become `''` in the listed string columns; no row is dropped."""
-    texts = [c for c in columns if isinstance(column_type(df.schema, c), StringType)]
+    named = {f.name.lower(): f.name for f in df.schema.fields}  # in the schema's spelling, which is kept
+    texts = [named.get(c.lower(), c) for c in columns if isinstance(column_type(df.schema, c), StringType)]
     return df.withColumns(
         {c: F.when(F.col(c).isNull() | F.col(c).isin(*values), F.lit("")).otherwise(F.col(c)) for c in texts}
     )

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.operators.keys import BROADCAST_BYTES, bounded_broadcast, key_table, same_key
+from siltgate.operators.keys import key_table, same_key
 
 CHUNK_COPIES = 10_000
 
@@ -38,13 +39,13 @@ def multiset_difference(left: DataFrame, right: DataFrame, chunk_copies: int = C
     return few.unionByName(many).select(*names, copies).drop("_copy")
 
 
-def key_difference(
-    left: DataFrame, right: DataFrame, key: Sequence[str], *, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def key_difference(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of `left` whose key does not occur in `right`; a row with NULL in its key has no match and is kept.
 
-    Within the size bound `left` is not moved at all. Beyond it the join shuffles, and adaptive execution splits a
-    key that holds a large part of `left`.
+    Nothing runs before the result is asked for: Spark broadcasts the keys if their shuffled size, once known, is
+    small enough. Rows with NULL in the key stay out of the join, so they are not brought to one task.
     """
     keys = key_table(right.dropna(subset=list(key)), key)
-    return left.join(bounded_broadcast(keys, broadcast_bytes), same_key(left, key), "left_anti")
+    has_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    named = left.filter(~has_null)
+    return named.join(keys, same_key(named, key), "left_anti").unionByName(left.filter(has_null))

@@ -29,12 +29,6 @@ def key_table(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return renamed_key(df, key).distinct()
 
 
-def bounded_broadcast(keys: DataFrame, broadcast_bytes: int) -> DataFrame:
-    """Broadcast the keys if their measured size is within the bound, else join by shuffle and sort, which spills."""
-    size = keys.agg(F.coalesce(F.sum(key_bytes(keys.columns)), F.lit(0))).first()[0]
-    return F.broadcast(keys) if size <= broadcast_bytes else keys.hint("merge")
-
-
 def same_key(df: DataFrame, key: Sequence[str], *, null_safe: bool = False) -> Column:
     """Join condition between the key of `df` and the columns of `renamed_key`."""
     pairs = [(df[k], F.col(f"_key{i}")) for i, k in enumerate(key)]

@@ -28,14 +28,15 @@ def latest_per_key(
     return df.withColumn("_rank", F.row_number().over(newest)).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def key_cast_sort(df: DataFrame, key: str, tie_break: Sequence[str] = (), data_type: str = "int") -> DataFrame:
+def key_cast_sort(df: DataFrame, key: str, tie_break: Sequence[str] | None = None, data_type: str = "int") -> DataFrame:
     """Cast the key, text that is no number to NULL, and sort by it, NULLs first.
 
-    Rows of equal key are ordered by the key as it was and then by `tie_break`. Range partitioning can thereby cut
+    Rows of equal key are ordered by the key as it was and then by `tie_break`, by default all other columns. Range partitioning can thereby cut
     through a frequent key as well, above all through the many texts that may have become NULL.
     """
+    rest = [c for c in df.columns if c.lower() != key.lower()] if tie_break is None else tie_break
     cast = df.withColumns({"_raw_key": F.col(key), key: F.col(key).try_cast(data_type)})
-    return cast.sort(*[F.asc_nulls_first(c) for c in [key, "_raw_key", *tie_break]]).drop("_raw_key")
+    return cast.sort(*[F.asc_nulls_first(c) for c in [key, "_raw_key", *rest]]).drop("_raw_key")
 
 
 def preview(df: DataFrame, order: Sequence[str], rows: int = 1000) -> DataFrame:

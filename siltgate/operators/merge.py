@@ -74,21 +74,32 @@ def measure_keys(new: DataFrame, key: Sequence[str], stamp: str) -> DayKeys:
     )
 
 
-def _untouched(existing: DataFrame, keys: DataFrame, key: Sequence[str], has_null: bool) -> DataFrame:
-    """Rows of the snapshot whose key is not among the day's.
+def _by_presence(
+    existing: DataFrame, keys: DataFrame, key: Sequence[str], has_null: bool, how: str
+) -> DataFrame:
+    """Rows of the snapshot whose key is among the day's (`left_semi`) or not (`left_anti`); NULL equals NULL.
 
-    A join that takes NULL for equal to NULL compares derived values, for which neither buckets nor the cheapest hash
-    table serve. It is used only for keys of several columns with NULL among them.
+    Keys without NULL are joined by plain equality, for which buckets and hash tables serve. Where the day has NULL in
+    its keys, the snapshot's rows with NULL in theirs, filtered out first, are joined null-safe on their own.
     """
-    if has_null and len(key) == 1:
-        existing, has_null = existing.filter(F.col(key[0]).isNotNull()), False
-    return existing.join(keys, same_key(existing, key, null_safe=has_null), "left_anti")
+    if not has_null:
+        return existing.join(keys, same_key(existing, key), how)
+    old_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in key])
+    new_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys.columns])
+    whole = existing.filter(~old_null)
+    partial, null_keys = existing.filter(old_null), keys.filter(new_null)
+    return whole.join(keys.filter(~new_null), same_key(whole, key), how).unionByName(
+        partial.join(null_keys, same_key(partial, key, null_safe=True), how)
+    )
 
 
-def _all_newer(day: DayKeys, existing: DataFrame, stamp: str) -> bool:
-    """Whether every stamp of the day is newer than the whole snapshot, of which one column is read."""
-    newest_old = existing.agg(F.max(_comparable(existing, stamp))).first()[0]
-    return not day.has_null_stamp and (newest_old is None or day.oldest > newest_old)
+def _all_newer(day: DayKeys, existing: DataFrame, stamp: str, newest_old: Any = None) -> bool:
+    """Whether every stamp of the day is newer than the whole snapshot, by its noted newest one or by its column."""
+    if day.has_null_stamp:
+        return False
+    if newest_old is None:
+        newest_old = existing.agg(F.max(_comparable(existing, stamp))).first()[0]
+    return newest_old is None or day.oldest > newest_old
 
 
 def scd1_touched(
@@ -99,24 +110,25 @@ def scd1_touched(
     tie_break: Sequence[str] | None = None,
     *,
     broadcast_bytes: int = BROADCAST_BYTES,
+    newest_old: Any = None,
 ) -> DataFrame:
-    """The same result as `scd1_window` where `existing` holds each key once, without moving the snapshot.
+    """The same result as `scd1_window` where `existing` holds each key once, without sorting the snapshot.
 
-    The day's keys are broadcast, and rows of the snapshot whose key the day does not touch pass straight through.
-    Touched old rows are compared with the new ones only when the day holds a stamp that is not newer than the whole
-    snapshot. A day with more keys than `broadcast_bytes` by measure is merged by `scd1_window`: so much of the table
-    changes then that moving it once is cheaper than joining it first.
+    Rows of the snapshot whose key the day does not touch pass as they are, also where they share a key. Touched old
+    rows are compared with the new ones only when the day holds a stamp that is not newer than the whole snapshot;
+    `newest_old` is the snapshot's newest stamp (in microseconds for timestamps with time zone), if it is known. The
+    day's keys are broadcast up to `broadcast_bytes` by measure and joined by shuffle and sort beyond it; the rows of
+    the result are the same.
     """
     day = measure_keys(new, key, stamp)
     if day.count == 0:
         return existing.select(*new.columns)
-    if day.bytes > broadcast_bytes:
-        return scd1_window(existing, new, key, stamp, tie_break)
-    keys = F.broadcast(key_table(new, key))
-    untouched = _untouched(existing, keys, key, day.has_null)
-    if _all_newer(day, existing, stamp):
+    keys = key_table(new, key)
+    keys = F.broadcast(keys) if day.bytes <= broadcast_bytes else keys.hint("merge")
+    untouched = _by_presence(existing, keys, key, day.has_null, "left_anti")
+    if _all_newer(day, existing, stamp, newest_old):
         return append(untouched, latest_per_key(new, key, stamp, tie_break))
-    touched = existing.join(keys, same_key(existing, key, null_safe=day.has_null), "left_semi")
+    touched = _by_presence(existing, keys, key, day.has_null, "left_semi")
     return append(untouched, scd1_window(touched, new, key, stamp, tie_break))
 
 
@@ -127,6 +139,7 @@ def scd1_bucketed(
     buckets: int,
     stamp: str = "time_stamp",
     tie_break: Sequence[str] | None = None,
+    newest_old: Any = None,
 ) -> DataFrame:
     """As `scd1_touched` for a snapshot laid out in `buckets` by hash of the key, for days of any size.
 
@@ -144,10 +157,10 @@ def scd1_bucketed(
         newest_new = latest_per_key(new.repartition(buckets, *key), key, stamp, tie_break)
         distinct = new.select(*key).repartition(buckets, *key).distinct()
     keys = renamed_key(distinct, key).hint("shuffle_hash")
-    untouched = _untouched(existing, keys, key, day.has_null)
-    if _all_newer(day, existing, stamp):
+    untouched = _by_presence(existing, keys, key, day.has_null, "left_anti")
+    if _all_newer(day, existing, stamp, newest_old):
         return append(untouched, newest_new)
-    touched = existing.join(keys, same_key(existing, key, null_safe=day.has_null), "left_semi")
+    touched = _by_presence(existing, keys, key, day.has_null, "left_semi")
     return append(untouched, scd1_window(touched, newest_new, key, stamp, tie_break))
 
 
@@ -160,8 +173,11 @@ def scd1(
     *,
     existing_unique: bool,
     broadcast_bytes: int = BROADCAST_BYTES,
+    newest_old: Any = None,
 ) -> DataFrame:
     """SCD type 1: one row per key, the newest. `existing_unique` says that the snapshot holds each key once."""
     if existing_unique:
-        return scd1_touched(existing, new, key, stamp, tie_break, broadcast_bytes=broadcast_bytes)
+        return scd1_touched(
+            existing, new, key, stamp, tie_break, broadcast_bytes=broadcast_bytes, newest_old=newest_old
+        )
     return scd1_window(existing, new, key, stamp, tie_break)

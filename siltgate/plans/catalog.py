@@ -7,6 +7,7 @@ sides. Queries that write tables do so in a new scratch folder per call.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,7 @@ from siltgate.operators.difference import key_difference, multiset_difference
 from siltgate.operators.latest import key_cast_sort, latest_per_key, preview
 from siltgate.operators.merge import append, measure_keys, scd1_bucketed, scd1_touched, scd1_window
 from siltgate.operators.split import REASONS, special_char_split, split, split_counts
-from siltgate.plans.contracts import Contract
+from siltgate.plans.contracts import Contract, declared_contract
 from siltgate.plans.daily import Layout, read_loaded, run_load
 from siltgate.sources.feed import as_text, scan_csv
 from siltgate.sources.quarantine import read_quarantine, write_quarantine
@@ -29,7 +30,7 @@ from siltgate.sources.snapshot import (
     read_snapshot,
     write_snapshot,
 )
-from siltgate.sources.storage import join_path, scratch_folder
+from siltgate.sources.storage import join_path, read_text, scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -292,13 +293,13 @@ def scd1_merge_antijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(LATEST_ORDERS_SQL)
 def scd1_merge_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """No broadcast allowed."""
+    """No broadcast allowed: the day's keys are joined by shuffle and sort."""
     return _merge_orders(spark, sf_dir, DAY_ONE, DAY_TWO, broadcast_bytes=-1)
 
 
 @register(LATEST_ORDERS_SQL)
 def scd1_merge_full_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A day whose keys by measure just exceed the bound."""
+    """A day whose keys by measure just exceed the bound, so that they are joined by shuffle."""
     existing = _latest_orders(_orders(spark, sf_dir, DAY_ONE))
     day = _orders(spark, sf_dir, DAY_TWO)
     day_bytes = measure_keys(day, ["o_custkey"], "o_orderdate").bytes
@@ -332,6 +333,91 @@ def scd1_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bucketed(spark, base, 20240102)
 
 
+REPEATED_SQL = f"""
+SELECT o.* FROM orders o WHERE {DAY_ONE} AND o_orderpriority <> '5-LOW'
+  AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE {DAY_TWO})
+UNION ALL
+SELECT * FROM (SELECT * FROM orders WHERE {DAY_TWO} OR o_orderpriority <> '5-LOW' QUALIFY {ORDERS_RANK_SQL} = 1)
+WHERE o_custkey IN (SELECT o_custkey FROM orders WHERE {DAY_TWO})
+"""
+
+
+@register(
+    f"SELECT *, 'broadcast' AS way FROM ({REPEATED_SQL}) UNION ALL SELECT *, 'shuffle' AS way FROM ({REPEATED_SQL})"
+)
+def scd1_merge_repeated_old(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot that repeats keys: untouched ones stay repeated, whichever way the day's keys are joined."""
+    existing = _orders(spark, sf_dir, f"{DAY_ONE} AND o_orderpriority <> '5-LOW'")
+    day = _orders(spark, sf_dir, DAY_TWO)
+    ways = [
+        scd1_touched(existing, day, ["o_custkey"], "o_orderdate", ["o_orderkey"], broadcast_bytes=bound).withColumn(
+            "way", F.lit(way)
+        )
+        for way, bound in (("broadcast", 1 << 40), ("shuffle", -1))
+    ]
+    return ways[0].unionByName(ways[1])
+
+
+NULL_KEY_SQL = """
+nulled AS (
+  SELECT o_orderkey, CASE WHEN o_custkey % 7 = 0 THEN NULL ELSE o_custkey END AS cust,
+         CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderstatus END AS status,
+         CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderdate END AS stamp,
+         o_orderdate < '2000-01-01' AS is_old
+  FROM orders)
+"""
+
+
+def _null_merge_sql(key: str) -> str:
+    newest = f"row_number() OVER (PARTITION BY {key} ORDER BY stamp DESC NULLS LAST, o_orderkey DESC)"
+    picked = f"SELECT o_orderkey, coalesce(cust, -1) AS cust, coalesce(status, '?') AS status FROM nulled QUALIFY {newest} = 1"
+    ways = [f"SELECT *, '{way}' AS way FROM ({picked})" for way in ("window", "touched", "shuffled", "bucketed")]
+    return f"WITH {NULL_KEY_SQL} " + " UNION ALL ".join(ways)
+
+
+def _null_merge(spark: SparkSession, sf_dir: str, key: list[str]) -> DataFrame:
+    """One merge with NULL among keys and stamps, by each of the ways."""
+    orders = table(spark, sf_dir, "orders")
+    rows = orders.select(
+        "o_orderkey",
+        F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("cust"),
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderdate")).alias("stamp"),
+        (F.col("o_orderdate") < "2000-01-01").alias("is_old"),
+    )
+    rest = (key, "stamp", ["o_orderkey"])
+    old = latest_per_key(rows.filter("is_old").drop("is_old"), *rest)
+    new = rows.filter("not is_old").drop("is_old")
+    base, buckets = join_path(scratch_folder(spark), "orders"), 4
+    write_snapshot(old.repartition(buckets, *key), base, 20240101, unique_on=key, buckets=buckets)
+    ways = {
+        "window": scd1_window(old, new, *rest),
+        "touched": scd1_touched(read_snapshot(spark, base, 20240101), new, *rest),
+        "shuffled": scd1_touched(read_snapshot(spark, base, 20240101), new, *rest, broadcast_bytes=-1),
+        "bucketed": scd1_bucketed(read_bucketed(spark, base, 20240101), new, key, buckets, "stamp", ["o_orderkey"]),
+    }
+    shown = [
+        df.select(
+            "o_orderkey",
+            F.coalesce("cust", F.lit(-1)).alias("cust"),
+            F.coalesce("status", F.lit("?")).alias("status"),
+            F.lit(way).alias("way"),
+        )
+        for way, df in ways.items()
+    ]
+    return reduce(DataFrame.unionByName, shown)
+
+
+@register(_null_merge_sql("cust"))
+def scd1_merge_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _null_merge(spark, sf_dir, ["cust"])
+
+
+@register(_null_merge_sql("cust, status"))
+def scd1_merge_null_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _null_merge(spark, sf_dir, ["cust", "status"])
+
+
 @register(LATEST_LINES_SQL)
 def scd1_merge_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
@@ -367,16 +453,15 @@ def preview_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def merge_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old, new = _orders(spark, sf_dir, DAY_ONE), _orders(spark, sf_dir, DAY_TWO)
-    merged = scd1_window(old, new, ["o_custkey"], "o_orderdate", ["o_orderkey"])
-    sides = [
-        old.select(F.lit("existing_rows").alias("side")),
-        new.select(F.lit("new_rows").alias("side")),
-        merged.select(F.lit("merged_rows").alias("side")),
-    ]
-    rows = sides[0].unionByName(sides[1]).unionByName(sides[2])
-    return rows.agg(
-        *[F.count_if(F.col("side") == s).alias(s) for s in ("existing_rows", "new_rows", "merged_rows")]
+    """Rows on both sides and after the merge, which are the distinct keys: one aggregate per key over one scan."""
+    sides = table(spark, sf_dir, "orders").select("o_custkey", F.expr(DAY_ONE).alias("is_old"))
+    per_key = sides.groupBy("o_custkey").agg(
+        F.count_if(F.col("is_old")).alias("old"), F.count_if(~F.col("is_old")).alias("new")
+    )
+    return per_key.agg(
+        F.coalesce(F.sum("old"), F.lit(0)).alias("existing_rows"),
+        F.coalesce(F.sum("new"), F.lit(0)).alias("new_rows"),
+        F.count(F.lit(1)).alias("merged_rows"),
     )
 
 
@@ -618,6 +703,113 @@ def daily_passthrough(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(spark, sf_dir, Contract("customer", DIRTY_SCHEMA), DAYS[:2])
 
 
+CUSTOMER_KEY = dict(merge_mode="scd1", key=("c_custkey",))
+
+
+def _place(spark: SparkSession) -> Layout:
+    folder = scratch_folder(spark)
+    return Layout(join_path(folder, "feed"), join_path(folder, "out"), join_path(folder, "bad"))
+
+
+@register(f"WITH {DIRTY_SQL}, days AS ({_days_sql(DAYS)}) SELECT * FROM days WHERE TRUE {NEWEST_SQL}")
+def daily_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source in buckets from its first load on."""
+    return _daily(spark, sf_dir, Contract("customer", DIRTY_SCHEMA, buckets=4, **CUSTOMER_KEY), DAYS)
+
+
+@register(
+    f"""
+    SELECT 'table' AS place, CAST(c_custkey AS VARCHAR) AS id, count(*) AS lines FROM customer
+    WHERE c_mktsegment <> 'BUILDING' GROUP BY ALL
+    UNION ALL
+    SELECT 'quarantine', {BROKEN_KEY_SQL}, count(*) FROM customer WHERE c_mktsegment = 'BUILDING' GROUP BY ALL
+    """
+)
+def daily_corrupt_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with an unreadable key are neither merged into one row nor lost: table and quarantine are all lines."""
+    contract = Contract("customer", "c_custkey bigint, nm string", merge_mode="scd1", key=("c_custkey",))
+    layout = _place(spark)
+    key = F.col("c_custkey").cast("string")
+    broken = F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("x"), key)).otherwise(key)
+    lines = table(spark, sf_dir, "customer").select(broken, "c_name")
+    lines.write.csv(layout.feed("customer", DAYS[0]))
+    run_load(spark, contract, layout, DAYS[0], stamp(STAMPS[DAYS[0]]))
+    loaded = read_loaded(spark, contract, layout, DAYS[0]).select(F.lit("table").alias("place"), key.alias("id"))
+    schema = f"{contract.schema}, corrupt_line string, {REASONS} string"
+    bad = read_quarantine(spark, layout.quarantine("customer", DAYS[0]), schema).select(
+        F.lit("quarantine").alias("place"), F.split_part("corrupt_line", F.lit(","), F.lit(1)).alias("id")
+    )
+    return loaded.unionByName(bad).groupBy("place", "id").agg(F.count(F.lit(1)).alias("lines"))
+
+
+@register(
+    f"""
+    WITH {DIRTY_SQL}
+    SELECT 'table' AS place, c_custkey FROM dirty WHERE NOT {BLANK_SQL} AND c_custkey % 2 = 0
+    UNION ALL
+    SELECT 'quarantine', c_custkey FROM dirty WHERE {BLANK_SQL} AND c_custkey % 2 = 0
+    """
+)
+def daily_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day loaded twice with different feeds: snapshot and quarantine are both those of the second run."""
+    contract = Contract("customer", DIRTY_SCHEMA, quality="blank", check_columns=("seg",), quarantine_mode="ignore")
+    layout, day = _place(spark), DAYS[0]
+    for rest in ("c_custkey % 2 = 1", "c_custkey % 2 = 0"):
+        dirty_customer(spark, sf_dir).filter(rest).write.mode("overwrite").csv(layout.feed("customer", day))
+        report = run_load(spark, contract, layout, day, stamp(STAMPS[day]))
+    bad = read_quarantine(spark, layout.quarantine("customer", day), f"{DIRTY_SCHEMA}, {REASONS} string")
+    if bad.count() != report.bad_rows:
+        raise AssertionError(f"{report.bad_rows} rejected rows reported, {bad.count()} there")
+    sides = {"table": read_loaded(spark, contract, layout, day), "quarantine": bad}
+    return reduce(
+        DataFrame.unionByName, [df.select(F.lit(place).alias("place"), "c_custkey") for place, df in sides.items()]
+    )
+
+
+@register(
+    f"""
+    SELECT c_custkey, c_name AS nm, '-' AS seg, TIMESTAMP '{STAMPS[DAYS[0]]}' AS time_stamp FROM customer
+    UNION ALL
+    SELECT c_custkey, c_name, c_mktsegment, TIMESTAMP '{STAMPS[DAYS[1]]}' FROM customer
+    """
+)
+def append_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From the second day on the source has one more column: NULL in older rows, kept in newer ones."""
+    layout, customers = _place(spark), table(spark, sf_dir, "customer")
+    columns = ["c_custkey bigint", "nm string", "seg string"]
+    for day, width in ((DAYS[0], 2), (DAYS[1], 3)):
+        contract = Contract("customer", ", ".join(columns[:width]), merge_mode="append")
+        customers.select(*["c_custkey", "c_name", "c_mktsegment"][:width]).write.csv(layout.feed("customer", day))
+        run_load(spark, contract, layout, day, stamp(STAMPS[day]))
+    return read_loaded(spark, contract, layout, DAYS[1]).withColumn("seg", F.coalesce("seg", F.lit("-")))
+
+
+DECLARATION = "c_custkey string\nnm string col\nseg string, col\nbalance decimal(18,9)\n"
+
+
+@register(
+    f"""
+    SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name AS nm, c_mktsegment AS seg,
+           CAST(CAST(c_acctbal AS DECIMAL(18,9)) AS DOUBLE) AS balance, TIMESTAMP '{STAMPS[DAYS[1]]}' AS time_stamp
+    FROM customer WHERE c_mktsegment <> 'BUILDING'
+    """
+)
+def declared_schema_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Schema and checked columns from a declaration in a text file; the key, declared as text, is cast by the load."""
+    layout = _place(spark)
+    folder = join_path(scratch_folder(spark), "schema")
+    spark.createDataFrame([(DECLARATION,)], "value string").coalesce(1).write.text(folder)
+    contract = declared_contract(
+        "customer", read_text(spark, folder), quality="blank", key_type="int", blank_values=("BUILDING",), **CUSTOMER_KEY
+    )
+    for day in DAYS[:2]:
+        table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment", "c_acctbal").write.csv(
+            layout.feed("customer", day)
+        )
+        run_load(spark, contract, layout, day, stamp(STAMPS[day]))
+    return read_loaded(spark, contract, layout, DAYS[1]).withColumn("balance", F.col("balance").cast("double"))
+
+
 @register(f"SELECT *, {STAMP_SQL} AS time_stamp FROM customer")
 def passthrough_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """No rule: every row is accepted as it is."""

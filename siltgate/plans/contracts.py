@@ -15,6 +15,7 @@ from siltgate.functions.rules import (
     Rule,
     SpecialChar,
 )
+from siltgate.sources.feed import parse_declaration
 
 
 @dataclass(frozen=True)
@@ -22,9 +23,10 @@ class Contract:
     """Schema, quality rule and merge mode of one source.
 
     `check_columns` are the columns the quality rule looks at; with none, no row is rejected or changed. Cells that
-    do not fit the schema are NULL unless `keep_corrupt` sends their lines to quarantine. `append` sources store a
+    do not fit the schema are NULL unless `keep_corrupt` sends their lines to quarantine, as it does by default for `scd1`. `append` sources store a
     day's rows as that day's folder; the other modes store the whole table per day. With `buckets`, snapshots of an
     `scd1` source are laid out by hash of the key, so that merging does not move them however much a day changes.
+    `key_type` casts the key (of one column, declared as text) before rows are merged; text that does not fit is NULL.
     """
 
     source: str
@@ -38,13 +40,17 @@ class Contract:
     buckets: int = 0
     header: bool = False
     flags: tuple[str, ...] = ()
-    keep_corrupt: bool = False
+    keep_corrupt: bool | None = None
+    key_type: str | None = None
     blank_values: tuple[str, ...] = BLANK_VALUES
     scrub_values: tuple[str, ...] = SCRUB_VALUES
     quarantine_header: bool = False
-    quarantine_mode: Literal["ignore", "overwrite"] = "ignore"
+    quarantine_mode: Literal["ignore", "overwrite"] = "overwrite"
 
     def __post_init__(self) -> None:
+        if self.keep_corrupt is None:
+            # Lines with an unreadable key would else become one row with NULL as its key.
+            object.__setattr__(self, "keep_corrupt", self.merge_mode == "scd1")
         if self.merge_mode == "scd1" and not self.key:
             raise ValueError(f"{self.source}: an scd1 source needs a key")
         if self.buckets and self.merge_mode != "scd1":
@@ -62,111 +68,8 @@ class Contract:
         return rules
 
 
-AIRLINE_SCHEMA = """
-    airline_id int, name string, alias string, iata string, icao string, callsign string, country string,
-    active boolean
-"""
-AIRPORT_SCHEMA = """
-    airport_id int, name string, city string, country string, iato string, icao string,
-    lattitude decimal(18,9), longitude decimal(18,9), altitude decimal(18,9),
-    timezone string, dst string, tz_database_timezone string, type string, source string
-"""
-PLANE_SCHEMA = "Name string, iata_code string, icao_code string"
-ROUTE_SCHEMA = """
-    airline string, airline_id int, source_airport string, source_airport_id int, destination_airport string,
-    destination_airport_id int, codeshare string, stops string, equipment string
-"""
-
-# Lengths of the two airline codes.
-AIRLINE_CODE_LENGTHS = {"iata": 2, "icao": 3}
-
-# Folder of headerless files per day.
-DAILY = {
-    c.source: c
-    for c in [
-        Contract(
-            source="airport",
-            schema=AIRPORT_SCHEMA,
-            quality="special_char",
-            check_columns=("name", "city", "country"),
-            merge_mode="scd1",
-            key=("airport_id",),
-        ),
-        Contract(
-            source="airline",
-            schema=AIRLINE_SCHEMA,
-            flags=("active",),
-            quality="blank",
-            check_columns=("airline_id", "name", "iata", "icao"),
-            code_lengths=AIRLINE_CODE_LENGTHS,
-            merge_mode="scd1",
-            key=("airline_id",),
-        ),
-        Contract(
-            source="route",
-            schema=ROUTE_SCHEMA,
-            quality="scrub",
-            check_columns=(
-                "airline",
-                "source_airport",
-                "destination_airport",
-                "codeshare",
-                "stops",
-                "equipment",
-            ),
-            merge_mode="append",
-        ),
-        Contract(source="plane", schema=PLANE_SCHEMA, merge_mode="full"),
-    ]
-}
-
-# One file with a header per source, blank cells rejected for all of them.
-SINGLE_FILE = {
-    c.source: c
-    for c in [
-        Contract(
-            source="airport",
-            schema=AIRPORT_SCHEMA,
-            quality="blank",
-            check_columns=("airport_id", "name", "iato", "icao"),
-            merge_mode="scd1",
-            key=("airport_id",),
-            header=True,
-            quarantine_header=True,
-            quarantine_mode="overwrite",
-        ),
-        Contract(
-            source="airline",
-            schema=AIRLINE_SCHEMA,
-            flags=("active",),
-            quality="blank",
-            check_columns=("airline_id", "name", "iata", "icao"),
-            code_lengths=AIRLINE_CODE_LENGTHS,
-            merge_mode="scd1",
-            key=("airline_id",),
-            header=True,
-            quarantine_header=True,
-            quarantine_mode="overwrite",
-        ),
-        Contract(
-            source="route",
-            schema=ROUTE_SCHEMA,
-            quality="blank",
-            check_columns=("airline", "source_airport", "destination_airport"),
-            merge_mode="append",
-            header=True,
-            quarantine_header=True,
-            quarantine_mode="overwrite",
-        ),
-        Contract(
-            source="plane",
-            schema=PLANE_SCHEMA,
-            quality="blank",
-            check_columns=("Name", "iata_code", "icao_code"),
-            merge_mode="full",
-            header=True,
-            quarantine_header=True,
-            quarantine_mode="overwrite",
-        ),
-    ]
-}
+def declared_contract(source: str, text: str, **rest) -> Contract:
+    """A contract whose schema and checked columns come from a declaration as `parse_declaration` reads it."""
+    schema, checked = parse_declaration(text)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    return Contract(source, ddl, check_columns=tuple(checked), **rest)

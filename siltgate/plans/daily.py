@@ -8,24 +8,28 @@ from typing import Literal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, TimestampType
 
 from siltgate.functions.dates import load_stamp
 from siltgate.functions.rules import scrub
 from siltgate.operators.keys import BROADCAST_BYTES
-from siltgate.operators.merge import scd1, scd1_bucketed
+from siltgate.operators.latest import latest_per_key
+from siltgate.operators.merge import append, scd1, scd1_bucketed
 from siltgate.operators.split import read_stage, stage_split
 from siltgate.plans.contracts import Contract
 from siltgate.sources.feed import scan_csv
 from siltgate.sources.quarantine import write_quarantine
 from siltgate.sources.snapshot import (
     DATE_COLUMN,
-    bucket_count,
     count_rows,
+    is_bucketed_by,
     is_unique_on,
     latest_prior_date,
     read_bucketed,
     read_history,
+    read_note,
     read_snapshot,
+    snapshot_dates,
     write_snapshot,
 )
 from siltgate.sources.storage import join_path, remove, scratch_folder
@@ -73,6 +77,8 @@ def scan_feed(spark: SparkSession, contract: Contract, path: str) -> DataFrame:
         keep_corrupt=contract.keep_corrupt,
         flags=contract.flags,
     )
+    if contract.key_type:
+        rows = rows.withColumns({k: F.col(k).try_cast(contract.key_type) for k in contract.key})
     return scrub(rows, contract.check_columns, contract.scrub_values) if contract.quality == "scrub" else rows
 
 
@@ -89,9 +95,16 @@ def merge_day(
         return good
     existing = read_snapshot(spark, base, prior_date)
     unique = is_unique_on(existing, contract.key)
-    if unique and contract.buckets and bucket_count(existing) == contract.buckets:
+    newest = _noted_newest(read_note(spark, base, prior_date).get("newest"))
+    if contract.buckets and is_bucketed_by(existing, contract.key, contract.buckets):
         laid_out = read_bucketed(spark, base, prior_date)
-        return scd1_bucketed(laid_out, good, contract.key, contract.buckets, tie_break=contract.tie_break)
+        if unique:
+            return scd1_bucketed(
+                laid_out, good, contract.key, contract.buckets, tie_break=contract.tie_break, newest_old=newest
+            )
+        # A first load may repeat keys. Its buckets spare the snapshot the shuffle all the same.
+        both = append(laid_out, good.repartition(contract.buckets, *contract.key))
+        return latest_per_key(both, contract.key, tie_break=contract.tie_break)
     merged = scd1(
         existing,
         good,
@@ -99,10 +112,25 @@ def merge_day(
         tie_break=contract.tie_break,
         existing_unique=unique,
         broadcast_bytes=broadcast_bytes,
+        newest_old=newest,
     )
     return merged.repartition(contract.buckets, *contract.key) if contract.buckets else merged
 
 
+def _noted_newest(noted: int | str | None) -> int | datetime | None:
+    return datetime.fromisoformat(noted) if isinstance(noted, str) else noted
+
+
+def _newest(spark: SparkSession, load_ts: datetime | Column, noted: int | str | None) -> int | str:
+    """The newest stamp after a load in the form of the note: a day's rows all carry its one stamp."""
+    stamped = load_stamp(spark.range(1), load_ts)
+    if isinstance(stamped.schema["time_stamp"].dataType, TimestampType):
+        own = stamped.select(F.unix_micros("time_stamp")).first()[0]
+    else:
+        own = stamped.select(F.date_format("time_stamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")).first()[0]
+    return own if noted is None else max(own, noted)
+
+
 def run_load(
     spark: SparkSession,
     contract: Contract,
@@ -138,7 +166,8 @@ def run_load(
                     staged.bad,
                     layout.quarantine(source, run_date),
                     header=contract.quarantine_header,
-                    mode=contract.quarantine_mode,
+                    # A load that replaces its snapshot replaces what it rejected, too.
+                    mode="overwrite" if snapshot_mode == "overwrite" else contract.quarantine_mode,
                 )
         else:
             good, good_rows, bad_rows = load_stamp(rows, load_ts), None, 0
@@ -150,32 +179,55 @@ def run_load(
             merged = merged.sort(*[F.asc_nulls_first(c) for c in [*contract.key, *others]])
         # A first load keeps repeated keys, so its snapshot is not yet unique.
         unique = contract.key if contract.merge_mode == "scd1" and prior_date is not None else ()
+        buckets = 0 if sort_by_key else contract.buckets
+        if buckets and not unique:
+            merged = merged.repartition(buckets, *contract.key)
+        noted = read_note(spark, base, prior_date).get("newest") if unique else None
+        unknown = bool(unique) and noted is None
         path = write_snapshot(
             merged,
             base,
             run_date,
             mode=snapshot_mode,
             unique_on=unique,
-            buckets=contract.buckets if unique and not sort_by_key else 0,
+            buckets=buckets,
+            bucket_key=contract.key,
+            newest=None if unknown else _newest(spark, load_ts, noted),
             max_records_per_file=max_records_per_file,
         )
     finally:
         if stage:
             remove(spark, stage)
 
-    written = count_rows(read_snapshot(spark, base, run_date))
-    total = count_rows(read_loaded(spark, contract, layout, run_date)) if contract.merge_mode == "append" else written
+    written = _rows(spark, base, run_date)
+    dates = [d for d in snapshot_dates(spark, base) if d <= run_date] if contract.merge_mode == "append" else []
+    total = sum(_rows(spark, base, d) for d in dates) if dates else written
     return LoadReport(
         source, run_date, prior_date, written if good_rows is None else good_rows, bad_rows, total, path
     )
 
 
+def _rows(spark: SparkSession, base: str, date: int) -> int:
+    noted = read_note(spark, base, date).get("rows")
+    return count_rows(read_snapshot(spark, base, date)) if noted is None else noted
+
+
 def read_loaded(spark: SparkSession, contract: Contract, layout: Layout, as_of: int) -> DataFrame:
     """The table of a source as it stood after the load of `as_of`, or the latest one before it."""
     base = layout.snapshots(contract.source)
     if contract.merge_mode == "append":
-        return read_history(spark, base, as_of).drop(DATE_COLUMN)
+        schema = _stored_schema(spark, contract, base, as_of)
+        return read_history(spark, base, as_of, schema).drop(DATE_COLUMN)
     latest = latest_prior_date(spark, base, as_of + 1)
     if latest is None:
         raise FileNotFoundError(f"no complete snapshot below {base} up to {as_of}")
     return read_snapshot(spark, base, latest)
+
+
+def _stored_schema(spark: SparkSession, contract: Contract, base: str, as_of: int) -> StructType:
+    """The contract's columns and the stamp, whose type is that of the newest day."""
+    dates = [d for d in snapshot_dates(spark, base) if d <= as_of]
+    if not dates:
+        raise FileNotFoundError(f"no complete snapshot below {base} up to {as_of}")
+    declared = StructType.fromDDL(contract.schema)
+    return StructType([*declared.fields, read_snapshot(spark, base, dates[-1]).schema["time_stamp"]])

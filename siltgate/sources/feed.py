@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,17 @@ def declared_schema(fields: Iterable[tuple[str, str]]) -> StructType:
     )
 
 
+def parse_declaration(text: str) -> tuple[StructType, list[str]]:
+    """Schema and checked columns from text: a line per column with its name, its type, and `col` if it is checked.
+
+    The parts are separated by commas or spaces; empty lines are skipped.
+    """
+    lines = [re.split(r"\s*,\s*(?![^(]*\))|\s+(?![^(]*\))", line.strip()) for line in text.splitlines() if line.strip()]
+    if bad := [line for line in lines if len(line) < 2]:
+        raise ValueError(f"a declared column needs a name and a type: {bad[0]}")
+    return declared_schema((line[0], line[1]) for line in lines), [line[0] for line in lines if "col" in line[2:]]
+
+
 def scan_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -43,7 +55,8 @@ def scan_csv(
     """Read a CSV file, or all files of a folder, under a declared schema matched by position.
 
     Cells that do not fit their type are read as NULL. With `keep_corrupt` the raw text of such lines, and of lines
-    with too few or too many fields, is kept in `corrupt_line`. `flags` are boolean columns delivered as words.
+    with too few or too many fields, is kept in `corrupt_line`. `flags` are boolean columns delivered as words; a line
+    with another word there counts as unreadable too, and its text is put together from its cells.
     """
     declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     flagged = {f.lower() for f in flags}
@@ -60,6 +73,12 @@ def scan_csv(
         # An always-true test over all columns keeps them in the scan and the verdict the same for every query.
         whole_line = F.hash(*declared.names).bitwiseOR(F.lit(1)) != F.lit(0)
         rows = rows.withColumn(CORRUPT_COLUMN, F.when(whole_line, F.col(CORRUPT_COLUMN)))
+        for f in declared.fields:
+            # A flag is read as text, so a word that is none is not noticed by the reader.
+            if f.name.lower() in flagged:
+                unread = F.col(f.name).isNotNull() & boolean_flag(f.name).isNull()
+                line = F.concat_ws(",", *[F.coalesce(F.col(n).cast("string"), F.lit("")) for n in declared.names])
+                rows = rows.withColumn(CORRUPT_COLUMN, F.coalesce(F.col(CORRUPT_COLUMN), F.when(unread, line)))
     return rows.withColumns({f.name: boolean_flag(f.name) for f in declared.fields if f.name.lower() in flagged})
 
 

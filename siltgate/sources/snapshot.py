@@ -7,18 +7,33 @@ makes reruns of a day safe.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
-from typing import Literal
+from typing import Any, Literal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from siltgate.sources.storage import WITH_MARKER, exists, is_complete, join_path, mode_for, remove, subfolders
+from pyspark.sql.types import StructType
+
+from siltgate.sources.storage import (
+    WITH_MARKER,
+    exists,
+    is_complete,
+    join_path,
+    mode_for,
+    read_note_text,
+    remove,
+    replace_folder,
+    subfolders,
+    write_note,
+)
 
 DATE_COLUMN = "load_date"
 UNIQUE_ON = "unique_on"
 BUCKETS = "buckets"
+BUCKET_KEY = "bucket_key"
+NOTE = "_siltgate_note.json"
 
 
 def snapshot_path(base: str, load_date: int) -> str:
@@ -33,18 +48,24 @@ def write_snapshot(
     mode: Literal["overwrite", "errorifexists"] = "overwrite",
     unique_on: Sequence[str] = (),
     buckets: int = 0,
+    bucket_key: Sequence[str] = (),
+    newest: Any = None,
     max_records_per_file: int = 0,
 ) -> str:
     """Write one snapshot; `errorifexists` refuses to replace a date. Returns its folder.
 
     Files follow the partitions of `df`, so the write adds no shuffle and no single-task funnel. `unique_on` notes a
-    key known to be unique in the schema, where parquet keeps it together with the rows. With `buckets` the rows of a
-    snapshot unique on its key are also laid out in that many files by hash of the key; `df` should be partitioned
-    alike, as each of its tasks writes one file per bucket it holds.
+    key known to be unique in the schema, where parquet keeps it together with the rows. With `buckets` the rows are
+    also laid out in that many files by hash of `bucket_key`, by default the unique key; `df` should be partitioned
+    alike, as each of its tasks writes one file per bucket it holds. A bucketed snapshot is written beside the one it
+    replaces and takes its place when complete. Bucketed writes and reads need a current database in which the session
+    may create and drop a table. The number of rows, from the files' footers, and the `newest` stamp, if given, are
+    noted in a small file of the folder.
     """
+    bucket_key = bucket_key or unique_on
     spark, path = df.sparkSession, snapshot_path(base, load_date)
     mode = mode_for(spark, path, mode)
-    noted = _note_key(df.drop(DATE_COLUMN), unique_on, buckets)
+    noted = _note_key(df.drop(DATE_COLUMN), unique_on, buckets, bucket_key)
     writer = (
         noted.write.format("parquet")
         .mode(mode)
@@ -52,23 +73,31 @@ def write_snapshot(
     )
     if not buckets:
         writer.save(path)
-        return path
-    if exists(spark, path):
-        if mode == "errorifexists":
+    else:
+        if exists(spark, path) and mode == "errorifexists":
             raise FileExistsError(path)
-        remove(spark, path)
-    name = _table_name()
-    try:
-        writer.bucketBy(buckets, *unique_on).option("path", path).saveAsTable(name)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        name, beside = _table_name(), join_path(base, f"_{uuid.uuid4().hex}")
+        try:
+            writer.bucketBy(buckets, *bucket_key).option("path", beside).saveAsTable(name)
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        replace_folder(spark, beside, path)
+    rows = count_rows(spark.read.parquet(path)) if noted.columns else 0
+    write_note(spark, join_path(path, NOTE), json.dumps({"rows": rows, "newest": newest}))
     return path
 
 
-def _note_key(df: DataFrame, unique_on: Sequence[str], buckets: int) -> DataFrame:
-    note = {UNIQUE_ON: list(unique_on), BUCKETS: buckets}
+def read_note(spark: SparkSession, base: str, load_date: int) -> dict:
+    """`rows` and `newest` of a snapshot, empty if it was written without a note."""
+    text = read_note_text(spark, join_path(snapshot_path(base, load_date), NOTE))
+    return json.loads(text) if text else {}
+
+
+def _note_key(df: DataFrame, unique_on: Sequence[str], buckets: int, bucket_key: Sequence[str]) -> DataFrame:
+    note = {UNIQUE_ON: list(unique_on), BUCKETS: buckets, BUCKET_KEY: list(bucket_key) if buckets else []}
+    first = next(iter(unique_on or bucket_key), None)
     for field in df.schema.fields:
-        noted = field.name.lower() == unique_on[0].lower() if unique_on else False
+        noted = first is not None and field.name.lower() == first.lower()
         if noted or UNIQUE_ON in field.metadata:
             kept = {k: v for k, v in field.metadata.items() if k not in note}
             df = df.withMetadata(field.name, {**kept, **note} if noted else kept)
@@ -85,10 +114,16 @@ def is_unique_on(snapshot: DataFrame, key: Sequence[str]) -> bool:
 
 
 def bucket_count(snapshot: DataFrame) -> int:
-    """In how many buckets by its unique key a snapshot was written, 0 if in none."""
+    """In how many buckets a snapshot was written, 0 if in none."""
     return _note_of(snapshot).get(BUCKETS, 0)
 
 
+def is_bucketed_by(snapshot: DataFrame, key: Sequence[str], buckets: int) -> bool:
+    """Whether a snapshot was written in that many buckets by hash of `key`."""
+    note = _note_of(snapshot)
+    return note.get(BUCKETS, 0) == buckets and [k.lower() for k in note.get(BUCKET_KEY, [])] == [k.lower() for k in key]
+
+
 def _table_name() -> str:
     return f"siltgate_{uuid.uuid4().hex}"
 
@@ -103,7 +138,7 @@ def read_bucketed(spark: SparkSession, base: str, load_date: int) -> DataFrame:
     plain = spark.read.parquet(path)
     note = _note_of(plain)
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    key = ", ".join(f"`{k}`" for k in note[UNIQUE_ON])
+    key = ", ".join(f"`{k}`" for k in note.get(BUCKET_KEY) or note[UNIQUE_ON])
     name, location = _table_name(), path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(
         f"CREATE TABLE {name} ({columns}) USING parquet"
@@ -136,12 +171,26 @@ def read_snapshot(spark: SparkSession, base: str, load_date: int) -> DataFrame:
     return spark.read.parquet(snapshot_path(base, load_date))
 
 
-def read_history(spark: SparkSession, base: str, as_of: int | None = None) -> DataFrame:
-    """All complete snapshots, up to `as_of` if given, with `load_date` as a partition column to prune on."""
-    paths = [snapshot_path(base, d) for d in snapshot_dates(spark, base) if as_of is None or d <= as_of]
-    if not paths:
+def read_history(
+    spark: SparkSession, base: str, as_of: int | None = None, schema: StructType | None = None
+) -> DataFrame:
+    """All complete snapshots, up to `as_of` if given, with `load_date` as a partition column to prune on.
+
+    Under a `schema` columns that older snapshots lack are NULL there, and a snapshot that stores another type under
+    a declared name is refused; without one Spark takes the columns of one of the snapshots.
+    """
+    dates = [d for d in snapshot_dates(spark, base) if as_of is None or d <= as_of]
+    if not dates:
         raise FileNotFoundError(f"no complete snapshot below {base}")
-    return spark.read.option("basePath", base).parquet(*paths)
+    reader = spark.read.option("basePath", base)
+    if schema is not None:
+        wanted = {f.name.lower(): f.dataType for f in schema.fields}
+        for date in dates:
+            for field in read_snapshot(spark, base, date).schema.fields:
+                if wanted.get(field.name.lower(), field.dataType) != field.dataType:
+                    raise TypeError(f"{date}: {field.name} is {field.dataType.simpleString()} in {base}")
+        reader = reader.schema(StructType([*schema.fields]).add(DATE_COLUMN, "int"))
+    return reader.parquet(*[snapshot_path(base, d) for d in dates])
 
 
 def count_rows(df: DataFrame) -> int:

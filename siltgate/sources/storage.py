@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -63,6 +64,14 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(hadoop_path, True)
 
 
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put a complete folder in the place of another, which is removed only then."""
+    fs, target = _open(spark, path)
+    remove(spark, path)
+    if not fs.rename(_open(spark, new)[1], target):
+        raise OSError(f"{new} could not be moved to {path}")
+
+
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables, below the session's `spark.checkpoint.dir`.
 
@@ -72,12 +81,43 @@ def scratch_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\[\]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="siltgate-"))
-        root = context.getCheckpointDir()
+        root = tempfile.mkdtemp(prefix="siltgate-")
     folder = join_path(root, f"siltgate-{uuid.uuid4().hex}")
     fs, hadoop_path = _open(spark, folder)
     fs.mkdirs(hadoop_path)
     fs.deleteOnExit(hadoop_path)
     return folder
+
+
+def clear_scratch(spark: SparkSession, folder: str) -> None:
+    """Remove a scratch folder whose tables are no longer read, instead of leaving it until the JVM exits."""
+    remove(spark, folder)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file from any file system, as for schemas."""
+    return "\n".join(row["value"] for row in spark.read.text(path, wholetext=True).collect())
+
+
+def read_note_text(spark: SparkSession, path: str) -> str | None:
+    """What `write_note` wrote, None if there is nothing."""
+    fs, hadoop_path = _open(spark, path)
+    if not fs.exists(hadoop_path):
+        return None
+    stream = fs.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_note(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small hidden file beside data files; Spark's readers skip names with an underscore."""
+    fs, hadoop_path = _open(spark, path)
+    stream = fs.create(hadoop_path, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()

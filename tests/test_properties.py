@@ -7,7 +7,7 @@ from helpers import at, bag
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from siltgate.functions import Blank, CodeLength, SpecialChar
+from siltgate.functions.rules import Blank, CodeLength, SpecialChar
 from siltgate.operators.difference import multiset_difference
 from siltgate.operators.split import split
 

@@ -5,8 +5,10 @@ import pytest
 from helpers import at, bag, plan
 from pyspark.sql import functions as F
 
-from siltgate.functions import Blank, CodeLength, SpecialChar, boolean_flag, rejected, reject_reasons, scrub
-from siltgate.functions import business_date, date_key, previous_date_key, run_date_for, special_chars
+from siltgate.functions.rules import (
+    Blank, CodeLength, SpecialChar, boolean_flag, rejected, reject_reasons, scrub, special_chars,
+)
+from siltgate.functions.dates import business_date, date_key, previous_date_key, run_date_for
 from siltgate.operators.split import special_char_split, split, split_counts
 
 

@@ -4,9 +4,9 @@ import pytest
 from helpers import bag
 
 from siltgate.operators.split import split
-from siltgate.functions import Corrupt
-from siltgate.plans.contracts import DAILY, SINGLE_FILE
-from siltgate.sources.feed import declared_schema, scan_csv
+from siltgate.functions.rules import Corrupt
+from samples import DAILY, SINGLE_FILE
+from siltgate.sources.feed import declared_schema, parse_declaration, scan_csv
 from siltgate.sources.quarantine import read_quarantine, write_quarantine
 
 DDL = "id int, name string, size decimal(18,9)"
@@ -27,9 +27,9 @@ def test_folder_without_headers(spark, tmp_path):
 
 
 def test_header_is_skipped_and_names_go_by_position(spark, tmp_path):
-    path = feed(tmp_path, "Name,IATA Code,ICAO Code", "Big One,B1,\\N", ",,X")
-    df = scan_csv(spark, path, DAILY["plane"].schema, header=True)
-    assert df.columns == ["Name", "iata_code", "icao_code"]
+    path = feed(tmp_path, "Name,Short code,Long code", "Big One,B1,\\N", ",,X")
+    df = scan_csv(spark, path, DAILY["craft"].schema, header=True)
+    assert df.columns == ["Name", "short_code", "long_code"]
     assert bag(df) == {("Big One", "B1", "\\N"): 1, (None, None, "X"): 1}
 
 
@@ -57,7 +57,7 @@ def test_flags_are_read_as_words(spark, tmp_path):
     path = feed(tmp_path, "1,Y", "2,N", "3,true", "4,?")
     df = scan_csv(spark, path, "id int, active boolean", keep_corrupt=True, flags=["ACTIVE"])
     assert df.schema["active"].dataType.typeName() == "boolean"
-    assert [tuple(r) for r in df.collect()] == [(1, True, None), (2, False, None), (3, True, None), (4, None, None)]
+    assert [tuple(r) for r in df.collect()] == [(1, True, None), (2, False, None), (3, True, None), (4, None, "4,?")]
 
 
 def test_declared_schema(spark):
@@ -77,9 +77,8 @@ def test_contracts_name_real_columns(spark, contracts):
         df = spark.createDataFrame([], contract.schema)
         names = [*contract.check_columns, *contract.key, *contract.flags, *contract.code_lengths]
         assert df.select(*names).count() == 0
-        assert len(contract.rules) == {"special_char": 1, "blank": 1}.get(contract.quality, 0) + bool(
-            contract.code_lengths
-        )
+        quality = {"special_char": 1, "blank": 1}.get(contract.quality, 0)
+        assert len(contract.rules) == quality + bool(contract.code_lengths) + (contract.merge_mode == "scd1")
 
 
 def test_quarantine_round_trip_of_awkward_texts(spark, tmp_path):
@@ -93,3 +92,13 @@ def test_quarantine_round_trip_of_awkward_texts(spark, tmp_path):
         back = read_quarantine(spark, path, "id int, a string, reject_reasons string", header=header)
         assert {r.id: r.a for r in back.collect()} == dict(enumerate(texts))
         assert {r.reject_reasons for r in back.collect()} == {"blank:a; x;y"}
+
+
+def test_declaration_text(spark):
+    schema, checked = parse_declaration("id integer\n\nname string col\nprice, decimal(10,2), col\nshape geometry\n")
+    assert [(f.name, f.dataType.simpleString()) for f in schema] == [
+        ("id", "int"), ("name", "string"), ("price", "decimal(10,2)"), ("shape", "string"),
+    ]
+    assert checked == ["name", "price"]
+    with pytest.raises(ValueError, match="needs a name and a type"):
+        parse_declaration("lonely")
