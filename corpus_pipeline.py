@@ -15,8 +15,9 @@ from siltgate.llm import toxicity
 from siltgate.llm.decontamination import contaminated
 from siltgate.llm.minhash import near_duplicates
 from siltgate.llm.packing import pack_documents
-from siltgate.llm.secrets import scan_secrets
+from siltgate.llm.secrets import mask_secrets
 from siltgate.llm.text import Scratch, without
+from siltgate.operators.keys import BROADCAST_BYTES
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -40,8 +41,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """
     scratch = Scratch(spark)
     judged = scratch.keep(near_duplicates(docs))
-    gone = judged.where("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    rest = docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+    gone = scratch.keep(judged.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct())
+    few = gone.count() * 60 <= BROADCAST_BYTES
+    rest = docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == F.col("_id"), "left_anti")
     again = judged.where("kept").groupBy("doc_id", "print").count().where("count > 1").select("doc_id").distinct()
     if again.isEmpty():
         return rest
@@ -57,20 +59,9 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, Scratch(spark).keep(found.select("doc_id", "mark").distinct()))
 
 
-def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets replaced by a mark and `n_chars` counted anew where that changed the text.
-
-    Only documents with secrets are joined with their new text.
-    """
-    safe = scan_secrets(docs).where("spans <> ''")
-    safe = safe.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("redacted").alias("_new"))
-    safe = Scratch(spark).keep(safe.dropDuplicates(["_id", "_mark"]))
-    same = docs["doc_id"].eqNullSafe(safe["_id"]) & (F.xxhash64(docs["text"]) == safe["_mark"])
-    joined = docs.join(safe, same, "left")
-    text = F.coalesce(F.col("_new"), docs["text"])
-    count = F.when(F.col("_new").isNotNull(), F.length("_new").cast("long")).otherwise(docs["n_chars"])
-    values = {"text": text, "n_chars": count}
-    return joined.select(*[values.get(c, docs[c]).alias(c) for c in docs.columns])
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced by a mark and `n_chars` counted anew where that changed the text."""
+    return mask_secrets(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -82,7 +73,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("toxicity", drop_toxic),
     ("near_duplicates", drop_near_duplicates),
     ("decontamination", drop_leaks),
-    ("secrets", mask_secrets),
+    ("secrets", hide_secrets),
     ("packing", pack),
 ]
 

@@ -208,6 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame, eligible: Column, field: Field = Fie
     # A few thousand labels, by the share above.
     texts = columns(docs, doc_id="long", text="string").where(F.length("text") <= field.longest)
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
+    if len({r["toxic"] for r in rows}) < 2:
+        return None
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     return train([r["text"] for r in rows], np.array([r["toxic"] == 1 for r in rows]), field)
 

@@ -36,7 +36,7 @@ def test_stages_keep_columns_and_clean_documents(spark, odd):
     # 4 is a near copy of 3; of rows that repeat one stays.
     assert kept(corpus_pipeline.drop_near_duplicates(spark, odd, SF)) == sorted(["1", "2", "3", "5", "6", "7", "8", "None", "None"])
     assert kept(corpus_pipeline.drop_leaks(spark, odd, SF)) == sorted(x for x in kept(odd) if x != "6")
-    masked = {r.doc_id: r for r in corpus_pipeline.mask_secrets(spark, odd, SF).collect()}
+    masked = {r.doc_id: r for r in corpus_pipeline.hide_secrets(spark, odd, SF).collect()}
     assert (masked[7].text, masked[7].n_chars) == ("see [SECRET] here", 17)
     assert len(masked) == len({r.doc_id for r in odd.collect()})
     assert corpus_pipeline.pack(spark, odd, SF).agg(F.countDistinct("doc_id")).first()[0] == 8
