@@ -189,7 +189,7 @@ def read_history(
             for field in read_snapshot(spark, base, date).schema.fields:
                 if wanted.get(field.name.lower(), field.dataType) != field.dataType:
                     raise TypeError(f"{date}: {field.name} is {field.dataType.simpleString()} in {base}")
-        reader = reader.schema(StructType([*schema.fields]).add(DATE_COLUMN, "int"))
+        reader = reader.schema(StructType([*schema.fields]).add(DATE_COLUMN, "integer"))
     return reader.parquet(*[snapshot_path(base, d) for d in dates])
 
 
