@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltgate.llm import cotraining, language, toxicity
+from siltgate.llm import cotraining, language, oracles, toxicity
 from siltgate.llm.cascade import judge
 from siltgate.llm.decontamination import contaminated
 from siltgate.llm.minhash import near_duplicates
@@ -50,7 +50,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return format_preferences(*swapped_answers(table(spark, sf_dir, "conversations")))
+    pairs = format_preferences(*swapped_answers(table(spark, sf_dir, "conversations")))
+
+    def listed(mask: str) -> Column:
+        return F.array_join(F.transform(mask, lambda m: F.concat_ws(":", m["start"], m["end"])), ",")
+
+    return pairs.withColumns({mask: listed(mask) for mask in ("chosen_mask", "rejected_mask")})
 
 
 def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,4 +102,9 @@ QUERIES: dict[str, Query] = {
         op10_substring,
     )
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_decontamination": oracles.DECONTAMINATION,
+    "op5_preferences": oracles.PREFERENCES,
+    "op6_minhash": oracles.NEAR_DUPLICATES,
+    "op10_substring": oracles.SUBSTRING,
+}
