@@ -94,7 +94,7 @@ RULES = (
     Rule("base", lambda p: p.base_failed),
     Rule("word_length", lambda p: not 2 * p.n_words <= p.word_chars <= 15 * p.n_words),
     Rule("symbols", lambda p: 10 * p.n_symbols > p.n_words),
-    Rule("repeated_lines", lambda p: 10 * p.n_dup_lines > 3 * len(p.lines)),
+    Rule("repeated_lines", lambda p: p.n_dup_lines > 2 and 10 * p.n_dup_lines > 3 * len(p.lines)),
     Rule("shouting", _shouting),
     Rule("compressible", lambda p: 10 * len(zlib.compress(p.data, 1)) < len(p.data)),
 )
