@@ -130,10 +130,10 @@ def rule_order(docs: DataFrame, rules: Sequence[Rule] = RULES, sample: Sample =
     Spark sums up rows and time by the set of rules that reject a row, of which there are few.
     """
     rows = docs.count()
-    texts = columns(docs, text="string")
+    texts = columns(docs, doc_id="long", text="string")
     if rows > sample.rows:
-        texts = texts.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < 1_000_000 * sample.rows / rows)
-    measured = per_batch(texts, "mask long, cost array<long>", lambda: _measure(rules))
+        texts = texts.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < 1_000_000 * sample.rows / rows)
+    measured = per_batch(texts.select("text"), "mask long, cost array<long>", lambda: _measure(rules))
     sums = [F.sum(F.get("cost", F.lit(i))).alias(f"c{i}") for i in range(len(rules))]
     met = measured.groupBy("mask").agg(F.count(F.lit(1)).alias("n"), *sums).collect()
     cost = [sum(r[f"c{i}"] for r in met) + 1 for i in range(len(rules))]

@@ -115,9 +115,9 @@ def _training_windows(net: Network):
 
 
 def fit(docs: DataFrame, eligible: Column, net: Network = Network()) -> Model | None:
-    """A model from rows of (text, lang) where `eligible` holds; None if there are none.
+    """A model from rows of (doc_id, text, lang) where `eligible` holds; None if there are none.
 
-    Of each language about `per_language` rows are taken, by a hash of the text, and up to three windows of each.
+    Of each language about `per_language` rows are taken, by a hash of id and text, and up to three windows of each.
     """
     rows = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(net.languages).collect()
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, eligible: Column, net: Network = Network()) -> Model |
     share = F.lit(0.0)
     for row in counts:
         share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, net.per_language / row["count"]))).otherwise(share)
-    sample = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text")
+    sample = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text")
     got = per_batch(sample, "lang string, window binary", lambda: _training_windows(net)).collect()
     got = sorted((r["lang"], bytes(r["window"])) for r in got)
     names = sorted({lang for lang, _ in got})
