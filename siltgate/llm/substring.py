@@ -40,21 +40,21 @@ class Sketch:
     depth: int = 2
     cell_bits: int = 29
     block_bits: int = 22
-    chunk_windows: int = 1 << 22
+    chunk_windows: int = 1 << 21
 
 
 def _cells(hashes: np.ndarray, row: int, sketch: Sketch) -> np.ndarray:
-    return mixed(hashes + np.uint64(row << 32)) >> np.uint64(64 - sketch.cell_bits)
+    return (mixed(hashes + np.uint64(row << 32)) >> np.uint64(64 - sketch.cell_bits)).astype(np.uint32)
 
 
 def _emit(hashes: np.ndarray, sketch: Sketch) -> dict[str, list]:
     """The sketch of some windows, block by block: gaps between the cells used, each with a mark if used twice."""
     out: dict[str, list] = {"depth": [], "block": [], "cells": []}
-    packer, low = zstandard.ZstdCompressor(level=1), np.uint64((1 << sketch.block_bits) - 1)
+    packer, low = zstandard.ZstdCompressor(level=1), np.uint32((1 << sketch.block_bits) - 1)
     for row in range(sketch.depth):
         cells, counts = np.unique(_cells(hashes, row, sketch), return_counts=True)
-        blocks = (cells >> np.uint64(sketch.block_bits)).astype(np.int64)
-        marked = ((cells & low) << np.uint64(1) | (counts > 1)).astype("<u4")
+        blocks = (cells >> np.uint32(sketch.block_bits)).astype(np.int32)
+        marked = ((cells & low) << np.uint32(1) | (counts > 1)).astype("<u4")
         firsts = np.flatnonzero(np.diff(blocks, prepend=-1))
         for first, end in zip(firsts, [*firsts[1:], len(cells)], strict=True):
             gaps = np.diff(marked[first:end], prepend=np.uint32(0)).astype("<u4")
@@ -136,7 +136,7 @@ def _maybe_repeated(hashes: np.ndarray, cells: list[np.ndarray], sketch: Sketch)
     places = np.arange(len(hashes))
     for row, bits in enumerate(cells):
         cell = _cells(hashes[places], row, sketch)
-        places = places[(bits[cell >> np.uint64(3)] >> (np.uint64(7) - (cell & np.uint64(7))).astype(np.uint8)) & 1 == 1]
+        places = places[(bits[cell >> np.uint32(3)] >> (np.uint32(7) - (cell & np.uint32(7))).astype(np.uint8)) & 1 == 1]
     return places
 
 
@@ -152,7 +152,7 @@ def _candidates(cells, sketch: Sketch):
     """
     kind = arrow_schema(CANDIDATES)
 
-    def grouped(held: list[tuple]) -> dict[str, list]:
+    def grouped(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         # NULL ids come last; a repeated row is the same document.
         held.sort(key=lambda d: (d[0] is None, d[0] or 0, d[1]))
         held = [d for i, d in enumerate(held) if not i or d[:2] != held[i - 1][:2]]
@@ -163,20 +163,25 @@ def _candidates(cells, sketch: Sketch):
         one, two = h1[order], h2[order]
         again = np.zeros(len(order), bool)
         again[order[1:]] = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
-        firsts, later = np.flatnonzero(~again), np.flatnonzero(again)
-        ids = [held[o][0] for o in owner[firsts]]
-        marks = np.array([d[1] for d in held], np.int64)
-        by_document = np.split(later, np.flatnonzero(np.diff(owner[later])) + 1) if len(later) else []
-        n = len(by_document)
-        return {
-            # Rows of covered windows are grouped with nothing; the document's mark only spreads them.
-            "h1": [*h1[firsts].view(np.int64).tolist(), *[held[owner[b[0]]][1] for b in by_document]],
-            "h2": [*h2[firsts].view(np.int32).tolist(), *[0] * n],
-            "doc_id": [*ids, *[held[owner[b[0]]][0] for b in by_document]],
-            "mark": [*marks[owner[firsts]].tolist(), *[held[owner[b[0]]][1] for b in by_document]],
-            "start": [*starts[firsts].tolist(), *[None] * n],
-            "covered": [*[None] * len(firsts), *[starts[b] for b in by_document]],
-        }
+        ids, marks = pa.array([d[0] for d in held], pa.int64()), pa.array([d[1] for d in held], pa.int64())
+
+        firsts = np.flatnonzero(~again)
+        of = pa.array(owner[firsts])
+        hashed = [pa.array(h1[firsts].view(np.int64)), pa.array(h2[firsts].view(np.int32))]
+        named, nothing = [ids.take(of), marks.take(of)], pa.nulls(len(firsts), kind.field("covered").type)
+        yield pa.RecordBatch.from_arrays([*hashed, *named, pa.array(starts[firsts]), nothing], schema=kind)
+
+        later = np.flatnonzero(again)
+        if not len(later):
+            return
+        edges = np.flatnonzero(np.diff(owner[later], prepend=-1))
+        of = pa.array(owner[later[edges]])
+        offsets = pa.array(np.append(edges, len(later)).astype(np.int32))
+        covered = pa.ListArray.from_arrays(offsets, pa.array(starts[later]), type=kind.field("covered").type)
+        # These are grouped with nothing; the document's mark only spreads them.
+        hashed = [marks.take(of), pa.array(np.zeros(len(edges), np.int32))]
+        named, nothing = [ids.take(of), marks.take(of)], pa.nulls(len(edges), pa.int32())
+        yield pa.RecordBatch.from_arrays([*hashed, *named, nothing, covered], schema=kind)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _unpacked(cells.value, sketch)
@@ -191,10 +196,10 @@ def _candidates(cells, sketch: Sketch):
                     second = (window_hashes(hashes, sketch.window, seed=9)[places] >> np.uint64(32)).astype(np.uint32)
                     held.append((doc_id, mark, places.astype(np.int32), all_windows[places], second))
                 if windows >= sketch.chunk_windows and held:
-                    yield record_batch(kind, grouped(held))
+                    yield from grouped(held)
                     held, windows = [], 0
         if held:
-            yield record_batch(kind, grouped(held))
+            yield from grouped(held)
 
     return run
 
