@@ -16,8 +16,7 @@ from siltgate.llm.decontamination import contaminated
 from siltgate.llm.minhash import near_duplicates
 from siltgate.llm.packing import pack_documents
 from siltgate.llm.secrets import mask_secrets
-from siltgate.llm.text import Scratch, without
-from siltgate.operators.keys import BROADCAST_BYTES
+from siltgate.llm.text import Scratch, among, without
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -35,22 +34,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, a similarity of 0.85), the one of the least id.
+    """One row of each group of near duplicates (five words, a similarity of 0.85): of the least id, NULL last.
 
-    Rows that repeat an id and its text stay once; so do copies without an id.
+    Of rows with that id the one of the least hash of its text stays. Rows are judged by their own text, whether they
+    have an id or share one. Rows that repeat an id, or NULL, and its text stay once.
     """
     scratch = Scratch(spark)
     judged = scratch.keep(near_duplicates(docs))
-    gone = scratch.keep(judged.where("not kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct())
-    few = gone.count() * 60 <= BROADCAST_BYTES
-    rest = docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == F.col("_id"), "left_anti")
-    again = judged.where("kept").groupBy("doc_id", "print").count().where("count > 1").select("doc_id").distinct()
+    rest = without(docs, scratch.keep(judged.where("not stays").select("doc_id", "mark").distinct()))
+    again = judged.where("stays").groupBy("doc_id", "mark").count().where("count > 1").select("doc_id", "mark")
+    again = scratch.keep(again)
     if again.isEmpty():
         return rest
-    again = again.select(F.col("doc_id").alias("_id"))
-    same = rest["doc_id"].eqNullSafe(again["_id"])
-    repeated = rest.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return rest.join(again, same, "left_anti").unionByName(repeated)
+    return without(rest, again).unionByName(among(rest, again).dropDuplicates(["doc_id", "text"]))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

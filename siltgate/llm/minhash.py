@@ -63,7 +63,7 @@ def _signatures(near: Near):
     circulant = Circulant(near.bands * near.rows, near.universe_bits)
     numbers = np.arange(near.bands, dtype=np.uint64)
 
-    def work(ids: list, texts: list) -> dict[str, list]:
+    def work(ids: list, marks: list, texts: list) -> dict[str, list]:
         sizes, prints, bands = [], [], []
         for text in texts:
             shingles = shingle_hashes(encoded(text), near.shingle)
@@ -77,7 +77,7 @@ def _signatures(near: Near):
             for place in range(near.rows):
                 keys = mixed(keys + rows[:, place] + np.uint64(1))
             bands.append(keys.view(np.int64))
-        return {"doc_id": ids, "n_shingles": sizes, "print": prints, "bands": bands}
+        return {"doc_id": ids, "mark": marks, "n_shingles": sizes, "print": prints, "bands": bands}
 
     return work
 
@@ -171,17 +171,20 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
        for those that both belong to the component with most classes there: sizes and 1-bit sketches first, within
        the join, then full sets. So every pair that shares a band is compared or already connected.
 
-    Returns doc_id, n_shingles, print (of the set; NULL if empty), component_id (the least doc_id of the component)
-    and kept (doc_id = component_id). Repeated rows, and rows that share a `doc_id`, are linked by their own texts and
+    Returns doc_id, mark (xxhash64 of the text), n_shingles, print (of the set; NULL if empty), component_id (the least
+    doc_id of the component), kept (doc_id = component_id) and stays (the row of the component of the least doc_id,
+    NULL last, and then the least mark, so one text of each component). Repeated rows, and rows that share a `doc_id`, are linked by their own texts and
     each returned. A NULL `doc_id` is never a component's id while another is there; where none is, component_id is
-    NULL and the row is kept. NULL and empty texts, and texts of white space, have no shingles and link with nothing.
-    A text of fewer than five words has one shingle, the whole. Long texts are taken whole. No rows give no rows.
+    NULL and the row is kept, but only one text of it stays. NULL and empty texts, and texts of white space, have no shingles and link with nothing.
+    Without shingles a row stays. A text of fewer than five words has one shingle, the whole. Long texts are taken whole. No rows give no rows.
     """
     scratch = Scratch(docs.sparkSession)
     texts = columns(docs, doc_id="long", text="string")
     signed = scratch.keep(
         per_batch(
-            texts, "doc_id long, n_shingles long, print binary, bands array<long>", lambda: _signatures(near)
+            texts.select("doc_id", F.xxhash64("text").alias("mark"), "text"),
+            "doc_id long, mark long, n_shingles long, print binary, bands array<long>",
+            lambda: _signatures(near),
         )
     )
     full = signed.where("print is not null")
@@ -212,13 +215,17 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     if not more.isEmpty():
         found = components(links.union(more), scratch)
 
-    linked = full.select("doc_id", "n_shingles", "print").join(found.withColumnRenamed("id", "print"), "print", "left")
+    linked = full.select("doc_id", "mark", "n_shingles", "print").join(found.withColumnRenamed("id", "print"), "print", "left")
     nodes = scratch.keep(linked.withColumn("node", F.coalesce("component", "print")).drop("component"))
-    least = nodes.groupBy("node").agg(F.min("doc_id").alias("component_id"))
-    empty = signed.where("print is null").select("doc_id", "n_shingles", "print", F.col("doc_id").alias("component_id"))
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "mark")
+    least = nodes.groupBy("node").agg(F.min("doc_id").alias("component_id"), F.min(place).alias("first"))
+    empty = signed.where("print is null").select(
+        "doc_id", "mark", "n_shingles", "print", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays")
+    )
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
     return (
         nodes.join(least, "node")
-        .select("doc_id", "n_shingles", "print", "component_id")
+        .select("doc_id", "mark", "n_shingles", "print", "component_id", stays.alias("stays"))
         .unionByName(empty)
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
     )

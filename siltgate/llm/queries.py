@@ -64,7 +64,7 @@ def op7_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents")).drop("print")
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("mark", "print", "stays")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

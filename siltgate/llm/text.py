@@ -118,10 +118,19 @@ def per_batch(frame: DataFrame, schema: str, prepare: Callable[[], Callable[...,
 
 def without(docs: DataFrame, rejected: DataFrame, text: str = "text") -> DataFrame:
     """The rows of `docs`, all columns, but those whose id and text are in `rejected` (doc_id, mark), a stored table."""
-    few = rejected.count() * 64 <= BROADCAST_BYTES
-    bad = rejected.select(F.col("doc_id").alias("_bad_id"), F.col("mark").alias("_bad_mark"))
-    same = docs["doc_id"].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(docs[text]) == bad["_bad_mark"])
-    return docs.join(F.broadcast(bad) if few else bad, same, "left_anti")
+    return _by_mark(docs, rejected, text, "left_anti")
+
+
+def among(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, whose id and text are in `wanted` (doc_id, mark), a stored table."""
+    return _by_mark(docs, wanted, text, "left_semi")
+
+
+def _by_mark(docs: DataFrame, marked: DataFrame, text: str, how: str) -> DataFrame:
+    few = marked.count() * 64 <= BROADCAST_BYTES
+    listed = marked.select(F.col("doc_id").alias("_marked_id"), F.col("mark").alias("_mark"))
+    same = docs["doc_id"].eqNullSafe(listed["_marked_id"]) & (F.xxhash64(docs[text]) == listed["_mark"])
+    return docs.join(F.broadcast(listed) if few else listed, same, how)
 
 
 class Scratch:

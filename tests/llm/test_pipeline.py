@@ -42,6 +42,24 @@ def test_stages_keep_columns_and_clean_documents(spark, odd):
     assert corpus_pipeline.pack(spark, odd, SF).agg(F.countDistinct("doc_id")).first()[0] == 8
 
 
+def test_near_duplicates_are_dropped_by_their_own_text(spark):
+    base = [[f"{k}{i}" for i in range(60)] for k in "abcd"]
+    full = [" ".join(b) for b in base]
+    near = [" ".join([*b[:59], "other"]) for b in base]
+    texts = [
+        (1, full[0]), (None, near[0]), (None, full[0]),  # copies without an id of a document that has one
+        (None, full[1]), (None, near[1]), (None, full[1]),  # copies among rows without an id
+        (2, full[2]), (3, near[2]), (3, "clean and linked with nothing"),  # one id, one text of it a copy
+        (4, full[3]), (4, full[3].upper()), (4, full[3].replace(" ", "  ")),  # one id and set, three texts
+        (None, None), (5, ""),
+    ]
+    docs = spark.createDataFrame([(i, t, None, "s", 0, "e") for i, t in texts], COLUMNS)
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()]
+    assert sorted(str(i) for i, _ in got) == sorted(["1", "None", "2", "3", "4", "None", "5"])
+    assert (1, full[0]) in got and (3, "clean and linked with nothing") in got and (None, None) in got
+    assert len([t for i, t in got if i is None and t in (full[1], near[1])]) == 1
+
+
 def test_whole_pipeline_against_plain_decisions(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     scratch, stages = Scratch(spark), dict(corpus_pipeline.STAGES)
