@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import lzma
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -32,8 +30,22 @@ ASSIGN_WORDS = ("passw", "secret", "token", "apikey", "api_key")
 
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 _ESCAPE = re.compile(r"(?:\\u[0-9A-Fa-f]{4})+|(?:\\x[0-9A-Fa-f]{2})+|&#x[0-9A-Fa-f]{1,6};|&#[0-9]{1,7};")
-_BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
-_CONTROL = re.compile(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F]")
+# A line end within base64, in mail also quoted, in string literals also as an escape.
+_GAP = r"[\x20\t]*(?:\r\n?|\n|(?:\\r)?\\n)[\x20\t>]*"
+_CODES = "[A-Za-z0-9+/_-]"
+_LINE_END = re.compile(_GAP)
+# Secrets, and what can hold them in encoded form, are ASCII; none has fewer than 14 characters (`token=` and eight),
+# which are 19 in base64.
+_BASE64 = re.compile(
+    rf"(?<!{_CODES})(?:{_CODES}{{19,}}+(?:{_GAP}{_CODES}++)*+|{_CODES}++(?:{_GAP}{_CODES}++)++)={{0,2}}"
+)
+_URL_SAFE = bytes.maketrans(b"-_", b"+/")
+_READABLE = re.compile(rb"[\t\n\r\x20-\x7E]{14,}")
+_UTF16 = re.compile(rb"(?:[\t\n\r\x20-\x7E]\x00){14,}|(?:\x00[\t\n\r\x20-\x7E]){14,}")
+_ZLIB = [bytes([a, b]) for a in range(0x08, 0x79, 0x10) for b in range(256) if not ((a * 256 + b) % 31 or b & 32)]
+_COMPRESSED = re.compile(rb"\x1F\x8B\x08|BZh[1-9]|\xFD7zXZ\x00|" + b"|".join(map(re.escape, _ZLIB)))
+# Bytes of a compressed stream fed at once, bytes that the pieces of a long stream share, streams within streams.
+FED, SHARED, NESTED = 1 << 16, 1 << 16, 50
 
 
 @dataclass(frozen=True)
@@ -54,6 +66,8 @@ class Layer:
     path: tuple[str, ...]
     left: np.ndarray
     right: np.ndarray
+    cut: bool = False  # goes on in another piece
+    unread: bool = False  # what is there could not be read
 
 
 def findings(text: str) -> list[tuple[int, int, str]]:
@@ -68,15 +82,6 @@ def findings(text: str) -> list[tuple[int, int, str]]:
     return found
 
 
-def _characters(data: bytes) -> tuple[str, list[int]] | None:
-    """The text and the number of bytes of each character, if the bytes are text."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return (text, [1] * len(text) if len(text) == len(data) else [len(c.encode()) for c in text])
-
-
 def _unescaped(match: str) -> str:
     if match.startswith("&#"):
         code = int(match[3:-1], 16) if match[2] in "xX" else int(match[2:-1])
@@ -88,20 +93,116 @@ def _unescaped(match: str) -> str:
     return b"".join(u.to_bytes(2, "big") for u in units).decode("utf-16-be", "replace")
 
 
-def _inflated(data: bytes, most: int) -> bytes | None:
-    """What a compressed stream holds, None if it is no such stream; at most one byte more than `most`."""
-    for magic, make in (
-        (b"\x1f\x8b", lambda: zlib.decompressobj(31)),
-        (b"\x78", lambda: zlib.decompressobj(15)),
-        (b"BZh", bz2.BZ2Decompressor),
-        (b"\xfd7zXZ", lzma.LZMADecompressor),
-    ):
-        if data.startswith(magic):
-            try:
-                return make().decompress(data, most + 1)
-            except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
-                return None
-    return None
+def _inflated(data: memoryview, most: int) -> Iterator[bytes | int]:
+    """What a compressed stream at the start of `data` holds, in parts of at most `most` bytes, then its length.
+
+    The length is left out if the stream breaks off or has an error; what comes before that is given.
+    """
+    head = bytes(data[:1])
+    plain = head not in (b"B", b"\xfd")
+    stream = zlib.decompressobj(47) if plain else bz2.BZ2Decompressor() if head == b"B" else lzma.LZMADecompressor()
+    fed, rest = 0, b""
+    try:
+        while not stream.eof:
+            if not rest and (plain or stream.needs_input):
+                rest = data[fed : fed + FED]
+                fed += len(rest)
+            last = not len(rest)
+            made = stream.decompress(rest, most)
+            rest = stream.unconsumed_tail if plain else b""
+            if made:
+                yield made
+            elif last and (plain or stream.needs_input):
+                return
+    except (zlib.error, OSError, lzma.LZMAError, EOFError, ValueError):
+        return
+    yield fed - len(stream.unused_data) - len(rest)
+
+
+class _Place:
+    """The span of a layer that stands for bytes decoded from it."""
+
+    def __init__(self, layer: Layer, at: np.ndarray | None, skip: int, end: int):
+        self.layer, self.at, self.skip, self.end = layer, at, skip, end
+
+    def spans(self, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Left and right of pieces from byte `first` to before byte `last`."""
+        if self.at is None:
+            return tuple(np.broadcast_to(x[:1], len(first)) for x in (self.layer.left, self.layer.right))
+        ends = np.minimum(self.skip + -(-last // 3) * 4, len(self.at)) - 1
+        return self.layer.left[self.at[self.skip + first // 3 * 4]], self.layer.right[self.at[ends]]
+
+    def whole(self, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+        """Left and right of one piece, with the padding after it."""
+        left, right = self.spans(np.array([first]), np.array([last]))
+        if self.at is not None and self.skip + -(-last // 3) * 4 >= len(self.at):
+            right = self.layer.right[self.end - 1 : self.end]
+        return left, right
+
+
+def _of_bytes(data: bytes, place: _Place, path: tuple[str, ...], most: int, cut: bool, above: tuple) -> Iterator[Layer | None]:
+    """The readable stretches of bytes and the layers in the compressed streams among them."""
+    for match in _READABLE.finditer(data):
+        every = np.arange(*match.span())
+        yield Layer(match[0].decode("ascii"), path, *place.spans(every, every + 1), cut and match.end() == len(data))
+    if b"\x00" in data:
+        for match in _UTF16.finditer(data):
+            every = np.arange(match.start(), match.end(), 2)
+            text = match[0].replace(b"\x00", b"").decode("ascii")
+            yield Layer(text, path, *place.spans(every, every + 2), cut and match.end() >= len(data) - 1)
+    at, inside = 0, (*path, "compressed")
+    while match := _COMPRESSED.search(data, at):
+        start, at = match.start(), match.start() + 1
+        held, end = b"", None
+        # Where the stream ends is known only afterwards; up to then it may be all the bytes that follow.
+        one = _Place(Layer("", inside, *place.whole(start, len(data))), None, 0, 0)
+        for made in _inflated(memoryview(data)[start:], most):
+            if isinstance(made, int):
+                end = start + made
+                break
+            held += made
+            if len(held) > most:
+                yield None
+                held = b""
+                break
+        if end is not None:
+            at = max(at, end)
+            one = _Place(Layer("", inside, *place.whole(start, end)), None, 0, 0)
+        if held:
+            yield from _of_stream(held, one, inside, most, False, above)
+
+
+def _of_stream(data: bytes, place: _Place, path: tuple[str, ...], most: int, cut: bool, above: tuple) -> Iterator[Layer | None]:
+    """As `_of_bytes`, but for streams that hold themselves."""
+    mark = xxhash.xxh3_128_digest(data)
+    if mark in above:
+        return
+    if len(above) == NESTED:
+        yield Layer("", path, place.layer.left, place.layer.right, unread=True)
+        return
+    yield from _of_bytes(data, place, path, most, cut, (*above, mark))
+
+
+def _of_base64(layer: Layer, match: re.Match, most: int) -> Iterator[Layer | None]:
+    """The layers in a run of base64, read from each of its first four characters on.
+
+    So it does not matter what stands before the code in the run, and what stands after it spoils its own bytes only.
+    """
+    run, start = match[0].rstrip("="), match.start()
+    parts, at = [], 0
+    for gap in _LINE_END.finditer(run):
+        parts.append((at, gap.start()))
+        at = gap.end()
+    parts.append((at, len(run)))
+    code = "".join([run[a:b] for a, b in parts]).encode("ascii").translate(_URL_SAFE)
+    if len(code) < 19:
+        return
+    places = np.concatenate([np.arange(start + a, start + b) for a, b in parts])
+    cut = layer.cut and match.end() == len(layer.text)
+    for skip in range(4):
+        whole = len(code) - ((len(code) - skip) % 4 == 1)
+        data = binascii.a2b_base64(code[skip:whole] + b"=" * (-(whole - skip) % 4))
+        yield from _of_bytes(data, _Place(layer, places[:whole], skip, match.end()), (*layer.path, "base64"), most, cut, ())
 
 
 def _replaced(layer: Layer, start: int, end: int, pattern: re.Pattern, name: str) -> Layer | None:
@@ -109,11 +210,10 @@ def _replaced(layer: Layer, start: int, end: int, pattern: re.Pattern, name: str
     parts, left, right, at, changed = [], [], [], start, False
     for match in pattern.finditer(layer.text, start, end):
         if name == "url":
-            made = _characters(binascii.unhexlify(match[0].replace("%", "")))
-            new = made[0] if made else None
+            new = binascii.unhexlify(match[0].replace("%", "")).decode("utf-8", "replace")
         else:
             new = _unescaped(match[0])
-        if new is None or new == match[0]:
+        if new == match[0]:
             continue
         a, b = match.span()
         parts += [layer.text[at:a], new]
@@ -125,7 +225,8 @@ def _replaced(layer: Layer, start: int, end: int, pattern: re.Pattern, name: str
     parts.append(layer.text[at:end])
     left.append(layer.left[at:end])
     right.append(layer.right[at:end])
-    return Layer("".join(parts), (*layer.path, name), np.concatenate(left), np.concatenate(right))
+    cut = layer.cut and end == len(layer.text)
+    return Layer("".join(parts), (*layer.path, name), np.concatenate(left), np.concatenate(right), cut)
 
 
 def _lines_with(pattern: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
@@ -140,7 +241,7 @@ def _lines_with(pattern: re.Pattern, text: str) -> Iterator[tuple[int, int]]:
 
 
 def _decoded(layer: Layer, most: int) -> Iterator[Layer | None]:
-    """The layers below a layer; None for one that is too long."""
+    """The layers below a layer; None before the pieces of one that is too long for one piece."""
     if "%" in layer.text:
         for start, end in _lines_with(_PERCENT, layer.text):
             if made := _replaced(layer, start, end, _PERCENT, "url"):
@@ -150,53 +251,43 @@ def _decoded(layer: Layer, most: int) -> Iterator[Layer | None]:
             if made := _replaced(layer, start, end, _ESCAPE, "unicode"):
                 yield made
     for match in _BASE64.finditer(layer.text):
-        code = match[0].rstrip("=").replace("-", "+").replace("_", "/")
-        whole = len(code) - (len(code) % 4 == 1)
-        data = base64.b64decode(code[:whole] + "=" * (-whole % 4))
-        start, end = match.span()
-        inner = _inflated(data, most)
-        if inner is not None:
-            made = _characters(inner) if len(inner) <= most else None
-            if len(inner) > most:
-                yield None
-            elif made and not _CONTROL.search(made[0]):
-                n = len(made[0])
-                path = (*layer.path, "base64", "compressed")
-                yield Layer(made[0], path, np.full(n, layer.left[start]), np.full(n, layer.right[end - 1]))
-        elif (made := _characters(data)) and not _CONTROL.search(made[0]):
-            ends = np.cumsum(made[1])
-            first = start + (ends - made[1]) // 3 * 4
-            last = np.minimum(start + -(-ends // 3) * 4, start + len(code)) - 1
-            yield Layer(made[0], (*layer.path, "base64"), layer.left[first], layer.right[last])
+        yield from _of_base64(layer, match, most)
 
 
 def scan(text: str, how: Unwrapping) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]], int, int]:
-    """Secrets of the text itself, secrets of its layers, layers read and layers skipped.
+    """Secrets of the text itself, secrets of its layers, layers read and layers read in pieces.
 
-    The worklist ends when no layer gives a new one. A layer seen before, by its text and place, is not read again.
+    The work ends when no layer gives a new one. A layer seen before, by its text and place, is not read again. Layers
+    are read in depth, so that of a long one a single piece is held. What cannot be read is listed as `unread~…`.
     """
     base = findings(text)
     added: set[tuple[int, int, str]] = set()
     known = set(base)
     places = np.arange(len(text), dtype=np.int64)
-    work, seen, layers, skipped = deque([Layer(text, (), places, places + 1)]), set(), 0, 0
+    work, seen, layers, skipped = [_decoded(Layer(text, (), places, places + 1), how.layer_chars)], set(), 0, 0
     while work:
-        for layer in _decoded(work.popleft(), how.layer_chars):
-            if layer is None:
-                skipped += 1
-                continue
-            if not layer.text:
-                continue
-            key = (xxhash.xxh3_128_digest(encoded(layer.text)), int(layer.left[0]), int(layer.right[-1]))
-            if key in seen:
-                continue
-            seen.add(key)
-            layers += 1
-            work.append(layer)
-            for start, end, kind in findings(layer.text):
-                span = (int(layer.left[start]), int(layer.right[end - 1]))
-                if (*span, kind) not in known:
-                    added.add((*span, f"{kind}~{'+'.join(layer.path)}"))
+        layer = next(work[-1], done := object())
+        if layer is done:
+            work.pop()
+            continue
+        if layer is None:
+            skipped += 1
+            continue
+        if layer.unread:
+            added.add((int(layer.left[0]), int(layer.right[-1]), f"unread~{'+'.join(layer.path)}"))
+            continue
+        if not layer.text:
+            continue
+        key = (xxhash.xxh3_128_digest(encoded(layer.text)), int(layer.left[0]), int(layer.right[-1]))
+        if key in seen:
+            continue
+        seen.add(key)
+        layers += 1
+        work.append(_decoded(layer, how.layer_chars))
+        for start, end, kind in findings(layer.text):
+            span = (int(layer.left[start]), int(layer.right[end - 1]))
+            if (*span, kind) not in known:
+                added.add((*span, f"{kind}~{'+'.join(layer.path)}"))
     return base, sorted(added, key=lambda s: (s[0], s[2], s[1])), layers, skipped
 
 
@@ -242,7 +333,9 @@ def scan_secrets(docs: DataFrame, how: Unwrapping = Unwrapping()) -> DataFrame:
     kind. `redacted` is the text with every span replaced by a mark.
 
     NULL text has no secrets, empty lists and NULL as `redacted`. Rows that repeat are scanned each, ids are passed
-    on, NULL too. Texts are scanned whole; `n_skipped` counts layers over the bound of `Unwrapping`.
+    on, NULL too. Texts are scanned whole. Base64 is read from any place of a run, over line ends, and of bytes that
+    are no text every stretch of at least 14 readable characters, UTF-16 too. `n_skipped` counts layers over the
+    bound of `Unwrapping`.
     """
     texts = columns(docs, doc_id="long", text="string")
     return per_batch(

@@ -352,6 +352,47 @@ def test_bombs_are_counted_not_unwrapped():
     assert scan(bomb, Unwrapping(layer_chars=1000))[3] == 1
 
 
+RANDOM = np.random.default_rng(9)
+CODED = base64.b64encode(SECRET.encode()).decode()
+
+
+def junk(n):
+    return RANDOM.integers(128, 256, n, np.uint8).tobytes()
+
+
+def wrapped_at(code, width, end):
+    return end.join(code[i : i + width] for i in range(0, len(code), width))
+
+
+@pytest.mark.parametrize(
+    "wrapped",
+    [
+        *[before + CODED for before in ("https://h.example/get/", "blob-", "a_", "x/y+", "ab", "abc", "abcd")],
+        *[CODED.rstrip("=") + after for after in ("/tail", "-blob", "_x", "+yz")],
+        "id-" + base64.b64encode(gzip.compress(SECRET.encode())).decode() + "/end",
+        "id_" + base64.urlsafe_b64encode(zlib.compress(SECRET.encode())).decode(),
+        *[base64.b64encode(SECRET.encode(f"utf-16-{e}")).decode() for e in ("le", "be")],
+        *[base64.b64encode(junk(n) + SECRET.encode() + b"\x00" + junk(5)).decode() for n in range(4)],
+        base64.b64encode(b"\x01" * 7 + zlib.compress(SECRET.encode()) + junk(9)).decode(),
+        base64.b64encode(gzip.compress(junk(40) + SECRET.encode("utf-16-le") + junk(3))).decode(),
+        base64.b64encode(gzip.compress(gzip.compress(SECRET.encode()))).decode(),
+        *[
+            wrapped_at(base64.b64encode(make(f"{'long text ' * n}{SECRET} {'more ' * 9}".encode())).decode(), width, end)
+            for width, n, end, make in (
+                (76, 5, "\n", bytes), (64, 4, "\r\n", bytes), (60, 4, "\\n", bytes), (76, 9, "\n> ", bytes), (10, 1, "\n  ", bytes),
+                (64, 30, "\n", lambda b: zlib.compress(b + junk(200))),
+            )
+        ],
+        "%FF" + quote(SECRET, safe="") + "%FE".join(f"%{ord(c):02x}" for c in SECRET),
+    ],
+)
+def test_wrapped_secrets_are_found_among_other_characters(wrapped):
+    text = f"Some words. {wrapped} and more"
+    _, added, _, _ = scan(text, Unwrapping())
+    found = [(s, e) for s, e, k in added if k.startswith("assign~")]
+    assert found and all(12 <= s < e <= 12 + len(wrapped) for s, e in found)
+
+
 # ---- repeated passages ---------------------------------------------------------------------------------------------
 
 
