@@ -50,9 +50,9 @@ FED, SHARED, NESTED = 1 << 16, 1 << 16, 50
 
 @dataclass(frozen=True)
 class Unwrapping:
-    """Most characters of a layer that is unwrapped, so that a small text cannot fill a task's memory.
+    """Most characters of a compressed layer that are held at once, so that a small text cannot fill a task's memory.
 
-    Longer layers are counted in `n_skipped`.
+    Longer layers are read in pieces that overlap, and counted in `n_skipped` as they are not read as one.
     """
 
     layer_chars: int = 16_000_000
@@ -153,7 +153,7 @@ def _of_bytes(data: bytes, place: _Place, path: tuple[str, ...], most: int, cut:
     at, inside = 0, (*path, "compressed")
     while match := _COMPRESSED.search(data, at):
         start, at = match.start(), match.start() + 1
-        held, end = b"", None
+        held, many, end = b"", False, None
         # Where the stream ends is known only afterwards; up to then it may be all the bytes that follow.
         one = _Place(Layer("", inside, *place.whole(start, len(data))), None, 0, 0)
         for made in _inflated(memoryview(data)[start:], most):
@@ -162,12 +162,16 @@ def _of_bytes(data: bytes, place: _Place, path: tuple[str, ...], most: int, cut:
                 break
             held += made
             if len(held) > most:
-                yield None
-                held = b""
-                break
+                if not many:
+                    yield None
+                many = True
+                yield from _of_stream(held, one, inside, most, True, above)
+                held = held[-min(SHARED, most // 2) :]
         if end is not None:
             at = max(at, end)
             one = _Place(Layer("", inside, *place.whole(start, end)), None, 0, 0)
+        elif cut and (held or many):
+            yield Layer("", inside, one.layer.left, one.layer.right, unread=True)
         if held:
             yield from _of_stream(held, one, inside, most, False, above)
 
@@ -334,8 +338,9 @@ def scan_secrets(docs: DataFrame, how: Unwrapping = Unwrapping()) -> DataFrame:
 
     NULL text has no secrets, empty lists and NULL as `redacted`. Rows that repeat are scanned each, ids are passed
     on, NULL too. Texts are scanned whole. Base64 is read from any place of a run, over line ends, and of bytes that
-    are no text every stretch of at least 14 readable characters, UTF-16 too. `n_skipped` counts layers over the
-    bound of `Unwrapping`.
+    are no text every stretch of at least 14 readable characters, UTF-16 too. `n_skipped` counts compressed layers
+    over the bound of `Unwrapping`, which are read in pieces; a stream inside one that goes over the end of a piece is
+    read up to there and listed as `unread~layer…`, and masked.
     """
     texts = columns(docs, doc_id="long", text="string")
     return per_batch(

@@ -1,7 +1,9 @@
 """Each text operator on awkward rows, against a plain version or an exact round trip."""
 
 import base64
+import bz2
 import gzip
+import lzma
 import re
 import zlib
 from collections import defaultdict
@@ -393,6 +395,25 @@ def test_wrapped_secrets_are_found_among_other_characters(wrapped):
     assert found and all(12 <= s < e <= 12 + len(wrapped) for s, e in found)
 
 
+@pytest.mark.parametrize("make", [gzip.compress, zlib.compress, bz2.compress, lzma.compress])
+@pytest.mark.parametrize("place", [0, 990, 1495, 50_000, 99_990])
+def test_long_layers_are_read_to_the_end(make, place):
+    inner = base64.b64encode(SECRET.encode())
+    for secret in (SECRET.encode(), inner):
+        data = b"a " * (place // 2) + secret + b" b" * ((100_000 - place) // 2)
+        code = base64.b64encode(make(data)).decode()
+        _, added, _, skipped = scan(f"see {code} here", Unwrapping(layer_chars=1000))
+        assert skipped == 1 and {(4, 4 + len(code))} == {(s, e) for s, e, _ in added}
+        assert all(k.startswith("assign~base64+compressed") for _, _, k in added)
+
+
+def test_unread_streams_are_listed_and_masked():
+    stream = base64.b64encode(zlib.compress(junk(3000)))
+    code = base64.b64encode(gzip.compress(b"a " * 200 + stream + b" b" * 200)).decode()
+    _, added, _, skipped = scan(code, Unwrapping(layer_chars=1000))
+    assert skipped and any(k.startswith("unread~") for _, _, k in added) and redacted(code, added) == "[SECRET]"
+
+
 # ---- repeated passages ---------------------------------------------------------------------------------------------
 
 
