@@ -32,6 +32,11 @@ def remainder(by: int) -> Column:
     return F.crc32(F.col("doc_id").cast("string")) % by
 
 
+def listed(spans: str) -> Column:
+    """Spans as `start:end,start:end`."""
+    return F.array_join(F.transform(spans, lambda m: F.concat_ws(":", m["start"], m["end"])), ",")
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs, F.coalesce(remainder(4) != 2, F.lit(False)))
@@ -43,18 +48,18 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), remainder(5) != 0)
     held_out = F.coalesce(remainder(5) == 0, F.lit(False))
-    scored = toxicity.score_toxicity(docs, model, with_spans=False)
+    scored = toxicity.score_toxicity(docs, model)
     return scored.select(
-        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        listed("spans").alias("spans"),
     )
 
 
 def op5_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = format_preferences(*swapped_answers(table(spark, sf_dir, "conversations")))
-
-    def listed(mask: str) -> Column:
-        return F.array_join(F.transform(mask, lambda m: F.concat_ws(":", m["start"], m["end"])), ",")
-
     return pairs.withColumns({mask: listed(mask) for mask in ("chosen_mask", "rejected_mask")})
 
 

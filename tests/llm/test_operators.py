@@ -233,6 +233,16 @@ def test_toxicity_scores_and_offsets(spark):
     assert {r.score for r in toxicity.score_toxicity(awkward(spark), None).collect()} == {0.0}
 
 
+def test_toxicity_query_returns_offsets(spark):
+    docs = {r.doc_id: r.text for r in queries.table(spark, "/root/testdata/sf0.01", "documents").collect()}
+    got = queries.op4_toxicity(spark, "/root/testdata/sf0.01").collect()
+    assert len(got) == len(docs) and any(r.spans for r in got if r.predicted)
+    for r in got:
+        for span in filter(None, r.spans.split(",")):
+            start, end = map(int, span.split(":"))
+            assert re.fullmatch(r"[^\W\d_]+", docs[r.doc_id][start:end])
+
+
 def test_quality_by_cotraining(spark):
     docs, labels = (queries.table(spark, "/root/testdata/sf0.1", t) for t in ("documents", "labels"))
     model = cotraining.fit(docs, labels.where("doc_id % 5 <> 0"))
