@@ -9,8 +9,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.text import columns, encoded, mixed, per_batch
-from siltgate.operators.keys import BROADCAST_BYTES
+from siltgate.llm.text import Scratch, columns, drawn, encoded, mixed, per_batch
 
 # Places of hashed byte trigrams, and of each hashed metadata field.
 TRIGRAMS, FIELD = 2048, 64
@@ -152,22 +151,29 @@ def _pages(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, how: Rounds = Rounds()) -> Model | None:
     """A model from documents (doc_id, text, source, lang, n_chars) and labels (doc_id, quality); None without both.
 
-    About `labelled` labels and `pool` other documents are taken, by a hash of their ids.
+    About `labelled` labelled documents and `pool` others are taken, by a hash of their ids, or of their text where
+    there is no id. Rows that share an id, or have none and equal texts, are one document; the row of the least hash
+    stands for it. Counted are documents with texts that are not too long.
     """
     rated = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
     rated = rated.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min("quality").alias("quality"))
-    counts = {r["quality"]: r["count"] for r in rated.groupBy("quality").count().collect()}
+    pages = _pages(docs).where((F.length("text") <= how.longest) | F.col("text").isNull())
+    nameless = pages.where("doc_id is null")
+    mark = F.xxhash64("text").alias("mark")
+    ids = pages.where("doc_id is not null").select("doc_id").distinct().join(rated, "doc_id", "left")
+    ids = Scratch(docs.sparkSession).keep(ids.select("doc_id", F.coalesce("quality", F.lit(-1)).cast("int").alias("quality")))
+    counts = {r["quality"]: r["count"] for r in ids.groupBy("quality").count().collect()}
     if not counts.get(0) or not counts.get(1):
         return None
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000))
-    half = how.labelled / 2
-    share = F.when(F.col("quality") == 1, F.lit(half / counts[1])).otherwise(F.lit(half / counts[0]))
-    chosen = rated.where(place < share * 1_000_000)
-    pages = _pages(docs)
-    rest = pages.where(place < 1_000_000 * how.pool / max(1, docs.count()))
-    rest = rest.join(F.broadcast(rated.where(place < 1_000_000 * how.pool / max(1, docs.count()))), "doc_id", "left_anti")
-    rows = pages.join(F.broadcast(chosen), "doc_id").unionByName(rest.withColumn("quality", F.lit(-1)))
-    rows = rows.where((F.length("text") <= how.longest) | F.col("text").isNull())
+    others = max(1, counts.get(-1, 0) + nameless.select(mark).distinct().count())
+    share = F.lit(how.pool / others)
+    for label in (0, 1):
+        share = F.when(F.col("quality") == label, F.lit(how.labelled / 2 / counts[label])).otherwise(share)
+    rows = pages.join(F.broadcast(ids.where(drawn(share, "doc_id"))), "doc_id")
+    rows = rows.unionByName(nameless.where(drawn(F.lit(how.pool / others), mark)).withColumn("quality", F.lit(-1)))
+    # One row each.
+    whole = F.struct(mark, "text", "source", "lang", "n_chars", "quality")
+    rows = rows.groupBy("doc_id", F.when(F.col("doc_id").isNull(), mark).alias("of_text")).agg(F.min(whole).alias("row")).select("row.*")
     made = per_batch(
         rows.select("text", "source", "lang", "n_chars", "quality"),
         "content binary, page binary, quality int",

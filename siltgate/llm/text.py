@@ -7,7 +7,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -133,6 +133,15 @@ def _by_mark(docs: DataFrame, marked: DataFrame, text: str, how: str) -> DataFra
     return docs.join(F.broadcast(listed) if few else listed, same, how)
 
 
+# Parts of a whole in which samples are drawn; fine enough for a few thousand of any number of rows.
+SHARES = 10**12
+
+
+def drawn(share: Column, *by: str | Column) -> Column:
+    """Whether a row is in a sample of this share, by the hash of the given columns."""
+    return F.pmod(F.xxhash64(*by), F.lit(SHARES)) < share * SHARES
+
+
 class Scratch:
     """Intermediate tables as Parquet below the session's shared checkpoint folder."""
 

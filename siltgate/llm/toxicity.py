@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.text import columns, per_batch
+from siltgate.llm.text import Scratch, columns, drawn, per_batch
 
 _WORD = re.compile(r"[^\W\d_]+")
 REMEMBERED_WORDS = 500_000
@@ -196,18 +196,25 @@ def _calibrated(words: list[list[str]], toxic: np.ndarray, model: Model, field:
 
 
 def fit(docs: DataFrame, labels: DataFrame, eligible: Column, field: Field = Field()) -> Model | None:
-    """A model from documents (doc_id, text) with labels (doc_id, toxic) where `eligible` holds; None without both."""
+    """A model from documents (doc_id, text) with labels (doc_id, toxic) where `eligible` holds; None without both.
+
+    Of each kind about as many labelled documents as `field` says are taken, by a hash of their ids, out of those whose
+    text is there and not too long. Of rows that share an id, the one of the least hash of its text stands for it.
+    """
+    texts = columns(docs, doc_id="long", text="string").where(F.length("text") <= field.longest)
     rated = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).where(eligible)
-    rated = rated.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    rated = rated.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
+    there = texts.where("doc_id is not null").select("doc_id").distinct()
+    rated = Scratch(docs.sparkSession).keep(rated.join(there, "doc_id"))
     counts = {r["toxic"]: r["count"] for r in rated.groupBy("toxic").count().collect()}
     if not counts.get(0) or not counts.get(1):
         return None
     shares = [min(1.0, n / counts[k]) for k, n in ((0, field.clean), (1, field.toxic))]
     share = F.when(F.col("toxic") == 1, F.lit(shares[1])).otherwise(F.lit(shares[0]))
-    chosen = rated.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000)
+    chosen = rated.where(drawn(share, "doc_id"))
     # A few thousand labels, by the share above.
-    texts = columns(docs, doc_id="long", text="string").where(F.length("text") <= field.longest)
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "toxic").collect()
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "toxic")
+    rows = rows.agg(F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")).collect()
     if len({r["toxic"] for r in rows}) < 2:
         return None
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))

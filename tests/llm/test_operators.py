@@ -254,6 +254,25 @@ def test_quality_by_cotraining(spark):
     assert {r.score for r in cotraining.score_quality(odd, None).collect()} == {None}
 
 
+def test_samples_are_bounded_whatever_the_ids(spark, monkeypatch):
+    """Many rows without an id, and many rows of one labelled id, among few others."""
+    pages = [(None, f"nameless {i} {prose(i, 6)}") for i in range(2000)] + [(None, "the same text again")] * 500
+    pages += [(0, f"hot {i} {prose(i, 6)}") for i in range(1000)] + [(i, f"plain {i} {prose(i, 6)}") for i in range(1, 400)]
+    docs = spark.createDataFrame([(*p, "s", "en", 9) for p in pages], "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.range(200).selectExpr("id doc_id", "int(id % 2) quality", "int(id % 2) toxic")
+    got = []
+    monkeypatch.setattr(cotraining, "train", lambda content, page, y, how: got.append(y))
+    cotraining.fit(docs, labels, cotraining.Rounds(labelled=10_000, pool=300))
+    cotraining.fit(docs, labels, cotraining.Rounds(labelled=10_000, pool=10_000))
+    assert [(y >= 0).sum() for y in got] == [200, 200]
+    assert 200 <= (got[0] < 0).sum() <= 400 and (got[1] < 0).sum() == 200 + 2001
+    monkeypatch.setattr(toxicity, "train", lambda texts, toxic, field: got.append(texts))
+    toxicity.fit(docs, labels, F.lit(True))
+    assert len(got[2]) == 200
+    toxicity.fit(docs, labels.union(spark.range(10_000, 90_000).selectExpr("id", "0", "int(id % 2)")), F.lit(True))
+    assert len(got[3]) == 200  # labels without a document take no places
+
+
 # ---- preferences ---------------------------------------------------------------------------------------------------
 
 
