@@ -105,15 +105,16 @@ def swapped_answers(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     A conversation is its own chosen one. Its rejected one has the same turns up to its last assistant turn, and in
     that place the last assistant text of its neighbour, whose conv_id differs in the lowest bit; without such a text
-    it ends there. Conversations without an assistant turn give no pair.
+    it ends there. Conversations without an assistant turn give no pair. Turns without a number come before all others,
+    and an assistant turn without one is the last only where no other has a number.
     """
     own = turns.select(F.col("conv_id").cast("long").alias("pair_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    own = own.where("pair_id is not null and turn is not null")
+    own = own.where("pair_id is not null")
     answers = own.where("role = 'assistant'").groupBy("pair_id").agg(
         F.max(F.struct("turn", "text")).alias("answer")
     ).select("pair_id", F.col("answer.turn").alias("last"), F.col("answer.text").alias("other"))
     chosen = own.join(answers.select("pair_id"), "pair_id", "left_semi")
-    before = own.join(answers.select("pair_id", "last"), "pair_id").where("turn < last").drop("last")
+    before = own.join(answers.select("pair_id", "last"), "pair_id").where("turn < last or turn is null and last is not null").drop("last")
     neighbours = answers.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), "other")
     replaced = answers.select("pair_id", F.col("last").alias("turn")).join(neighbours, "pair_id")
     replaced = replaced.select("pair_id", "turn", F.lit("assistant").alias("role"), F.col("other").alias("text"))

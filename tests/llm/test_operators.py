@@ -304,6 +304,17 @@ def test_preferences_of_the_table(spark):
             assert all(text[m.start : m.end].endswith("<|end|>") for m in mask)
 
 
+def test_turns_without_a_number_come_first(spark):
+    turns = [(2, None, "system", "s"), (2, None, "assistant", "early"), (2, 1, "user", "u"), (2, 2, "assistant", "good"),
+             (3, None, "assistant", "only"), (4, 0, "user", "x"), (None, 0, "assistant", "z")]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {r.pair_id: r for r in format_preferences(*swapped_answers(frame)).collect()}
+    assert {i: (r.status, r.prompt_turns) for i, r in got.items()} == {2: ("ok", 3), 3: ("ok", 0)}
+    assert got[2].prompt.startswith("<|assistant|>\nearly<|end|>\n<|system|>\ns<|end|>\n<|user|>")
+    assert (got[2].chosen, got[2].rejected) == ("<|assistant|>\ngood<|end|>\n", "<|assistant|>\nonly<|end|>\n")
+    assert (got[3].chosen, got[3].rejected) == (got[2].rejected, got[2].chosen)
+
+
 # ---- quality rules -------------------------------------------------------------------------------------------------
 
 
