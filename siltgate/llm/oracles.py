@@ -108,3 +108,50 @@ SELECT pair_id, CASE WHEN chosen = '' AND rejected = '' THEN 'same' WHEN chosen
                 ELSE 'ok' END AS status, prompt_turns, prompt, chosen, rejected, chosen_mask, rejected_mask
 FROM made JOIN common USING (pair_id)
 """
+
+
+def _crc32(code_points: str) -> str:
+    """Unsigned CRC-32 of a list of bytes, bit by bit: 3988292384 is its fixed polynomial."""
+    step = "list_reduce(range(8), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), xor(crc, byte))"
+    return f"xor(list_reduce({code_points}, lambda crc, byte: {step}, CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+_DIGITS = "list_transform(range(1, length(s) + 1), lambda i: CAST(ascii(substr(s, i, 1)) AS BIGINT))"
+
+PREFIX_TRIE = f"""
+WITH RECURSIVE own AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS nth
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS first, {_crc32(_DIGITS)} % 4 AS h
+  FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM own)),
+rebuilt AS (
+  SELECT convs.conv_id, own.role, own.text, 0 AS part, nth FROM convs JOIN own ON own.conv_id = first WHERE nth <= h
+  UNION ALL
+  SELECT convs.conv_id, own.role, own.text, 1 AS part, nth FROM convs JOIN own USING (conv_id) WHERE nth > h),
+turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, nth) AS depth,
+         sha256(CAST(length(role) AS VARCHAR) || ':' || role || text) AS turn,
+         len({WORDS.format("text")}) AS words
+  FROM rebuilt),
+paths AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS depth, '' AS node, CAST(NULL AS VARCHAR) AS parent, 0 AS words FROM convs
+  UNION ALL
+  SELECT turns.conv_id, turns.depth, sha256(node || turn), node, turns.words
+  FROM paths JOIN turns ON turns.conv_id = paths.conv_id AND turns.depth = paths.depth + 1),
+ended AS (SELECT conv_id, max(depth) AS n FROM paths GROUP BY conv_id),
+nodes AS (
+  SELECT node, any_value(parent) AS parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(words) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE depth = n), '')) AS ends_sha256
+  FROM paths JOIN ended USING (conv_id) GROUP BY node, depth),
+families AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT paths.node, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children IS NULL) AS n_leaves
+  FROM nodes LEFT JOIN families USING (node)
+  JOIN paths ON paths.conv_id = nodes.conv_id AND paths.depth <= nodes.depth GROUP BY paths.node)
+SELECT nodes.conv_id, nodes.depth, above.conv_id AS parent_conv_id, nodes.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, nodes.ends_sha256
+FROM nodes JOIN below USING (node) LEFT JOIN families USING (node) LEFT JOIN nodes above ON above.node = nodes.parent
+"""

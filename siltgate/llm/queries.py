@@ -13,6 +13,7 @@ from siltgate.llm.decontamination import contaminated
 from siltgate.llm.minhash import near_duplicates
 from siltgate.llm.packing import pack_documents
 from siltgate.llm.preferences import format_preferences, swapped_answers
+from siltgate.llm.prefix_trie import grafted_trie
 from siltgate.llm.secrets import scan_secrets
 from siltgate.llm.substring import remove_repeats
 
@@ -92,6 +93,10 @@ def op10_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grafted_trie(table(spark, sf_dir, "conversations")).drop("enter")
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -105,6 +110,7 @@ QUERIES: dict[str, Query] = {
         op8_cascade,
         op9_secrets,
         op10_substring,
+        op11_prefix_trie,
     )
 }
 SQL: dict[str, str] = {
@@ -112,4 +118,5 @@ SQL: dict[str, str] = {
     "op5_preferences": oracles.PREFERENCES,
     "op6_minhash": oracles.NEAR_DUPLICATES,
     "op10_substring": oracles.SUBSTRING,
+    "op11_prefix_trie": oracles.PREFIX_TRIE,
 }
