@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltgate.llm.runs import numbered
-from siltgate.llm.text import Scratch, columns
+from siltgate.llm.text import Scratch, columns, sized
 from siltgate.llm.tour import Chunks, list_ranks
 
 # Ids written into one piece of a node's list of ends.
@@ -42,16 +42,18 @@ def grafted(placed: DataFrame, scratch: Scratch, group: int, longest: int) -> tu
     cut = F.crc32(F.col("conv_id").cast("string")) % longest
     sizes = scratch.keep(placed.groupBy("conv_id").agg(F.count(F.lit(1)).alias("own")))
     of_first = sizes.select(F.col("conv_id").alias("first"), F.col("own").alias("there"))
+    n = sizes.count()
     known = sizes.withColumns({"first": F.col("conv_id") - F.col("conv_id") % group, "h": cut})
     convs = scratch.keep(
-        known.join(of_first, "first", "left").select(
+        known.join(sized(of_first, n, 60), "first", "left").select(
             "conv_id", "first", "h", F.least("h", F.coalesce("there", F.lit(0))).alias("taken"), "own"
         )
     )
     hashes = ("one", "two", "words")
     heads = placed.where(F.col("nth") < longest).withColumnRenamed("conv_id", "first")
-    from_first = convs.select("conv_id", "first", "h").where("h > 0").join(heads, "first").where("nth <= h")
-    kept = placed.join(convs.select("conv_id", "h", "taken"), "conv_id").where("nth > h")
+    takers = convs.select("conv_id", "first", "h").where("h > 0")
+    from_first = heads.join(sized(takers, n, 60), "first").where("nth <= h")
+    kept = placed.join(sized(convs.select("conv_id", "h", "taken"), n, 60), "conv_id").where("nth > h")
     rebuilt = from_first.select("conv_id", "nth", *hashes).union(
         kept.select("conv_id", F.col("nth") - F.col("h") + F.col("taken"), *hashes)
     )
@@ -194,24 +196,26 @@ def prefix_trie(placed: DataFrame, convs: DataFrame, scratch: Scratch, chunks: C
     )
     kept = ("conv_id", "depth", "parent_conv_id", "n_convs", "words")
     below_root = nodes.where("depth = 1").withColumn("parent_conv_id", F.lit(root_id).cast("long")).select(*kept)
-    others = nodes.where("depth > 1").join(above, ["depth", "parent_one", "parent_two"]).select(*kept)
+    n_nodes = nodes.count()
+    others = nodes.where("depth > 1").join(sized(above, n_nodes, 80), ["depth", "parent_one", "parent_two"]).select(*kept)
     children = scratch.keep(
         numbered(below_root.union(others), ["parent_conv_id", "depth"], ["conv_id"], scratch, keep=["conv_id", "n_convs", "words"])
     )
 
-    siblings = children.select(
-        "parent_conv_id", "depth", (F.col("nth") - 1).alias("nth"), F.col("conv_id").alias("next_sibling")
-    )
+    # The sibling after the nth one; after the 0th comes the first child.
+    after = children.select("parent_conv_id", "depth", (F.col("nth") - 1).alias("nth"), F.col("conv_id").alias("next_sibling"))
+    own = children.join(sized(after, n_nodes, 80), ["parent_conv_id", "depth", "nth"], "left").drop("nth")
     families = children.groupBy("parent_conv_id", "depth").agg(
         F.max("nth").alias("n_children"), F.min("conv_id").alias("first_child")
     )
-    families = families.select(F.col("parent_conv_id").alias("conv_id"), (F.col("depth") - 1).alias("depth"), "n_children", "first_child")
-    own = children.join(siblings, ["parent_conv_id", "depth", "nth"], "left").drop("nth")
+    families = scratch.keep(
+        families.select(F.col("parent_conv_id").alias("conv_id"), (F.col("depth") - 1).alias("depth"), "n_children", "first_child")
+    )
     root = spark.range(1).selectExpr(
         "cast(null as long) as parent_conv_id", "cast(0 as long) as depth", f"cast({root_id} as long) as conv_id",
         f"cast({members} as long) as n_convs", "cast(0 as long) as words", "cast(null as long) as next_sibling",
     )
-    trie = scratch.keep(own.unionByName(root).join(families, ["conv_id", "depth"], "left"))
+    trie = scratch.keep(own.unionByName(root).join(sized(families, n_nodes, 80), ["conv_id", "depth"], "left"))
 
     ranked = list_ranks(scratch.keep(_arcs(trie)), scratch, chunks)
     out = F.col("b") % 2 == 1
@@ -222,9 +226,10 @@ def prefix_trie(placed: DataFrame, convs: DataFrame, scratch: Scratch, chunks: C
         F.min("place").alias("enter"),
     )
 
-    last = paths.join(convs.select("conv_id", F.col("n").alias("depth")), ["conv_id", "depth"], "left_semi")
-    named = nodes.select(F.col("conv_id").alias("node_id"), "depth", "one", "two")
-    ending = last.select("conv_id", "depth", "one", "two").join(named, ["depth", "one", "two"]).select("node_id", "depth", "conv_id")
+    total = sized(convs.select("conv_id", F.col("n").alias("depth")), members, 60)
+    last = paths.join(total, ["conv_id", "depth"], "left_semi").select("conv_id", "depth", "one", "two")
+    named = sized(nodes.select(F.col("conv_id").alias("node_id"), "depth", "one", "two"), n_nodes, 80)
+    ending = last.join(named, ["depth", "one", "two"]).select("node_id", "depth", "conv_id")
     turnless = convs.where("n = 0").select(F.lit(root_id).cast("long"), F.lit(0).cast("long"), "conv_id")
     ends = _ends(ending.union(turnless)).withColumnRenamed("node_id", "conv_id")
     return (

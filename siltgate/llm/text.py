@@ -133,6 +133,11 @@ def _by_mark(docs: DataFrame, marked: DataFrame, text: str, how: str) -> DataFra
     return docs.join(F.broadcast(listed) if few else listed, same, how)
 
 
+def sized(frame: DataFrame, rows: int, bytes_each: int) -> DataFrame:
+    """`frame` as the small side of a join: broadcast only if its counted rows of at most that size stay in the bound."""
+    return F.broadcast(frame) if rows * bytes_each <= BROADCAST_BYTES else frame
+
+
 # Parts of a whole in which samples are drawn; fine enough for a few thousand of any number of rows.
 SHARES = 10**12
 

@@ -10,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siltgate.llm.text import Scratch
-from siltgate.operators.keys import BROADCAST_BYTES
+from siltgate.llm.text import Scratch, sized
 
 SUMS = ("place", "leaves", "saved")
 # An item, the head of the chain it has become part of, what lies before it there, and on the last item of a chain
@@ -80,7 +79,8 @@ def _by_chunk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _in_chunks(items: DataFrame, n: int, chunks: Chunks) -> DataFrame:
     tasks = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = max(-(-n // chunks.most), min(tasks, -(-n // chunks.least)))
-    return items.repartitionByRange(parts, "a", "b").mapInArrow(_by_chunk, _LINKED)
+    dealt = items.coalesce(1) if parts == 1 else items.repartitionByRange(parts, "a", "b")
+    return dealt.mapInArrow(_by_chunk, _LINKED)
 
 
 def _in_pairs(items: DataFrame, turn: int, scratch: Scratch) -> DataFrame:
@@ -143,8 +143,7 @@ def list_ranks(items: DataFrame, scratch: Scratch, chunks: Chunks = Chunks()) ->
             ranks = own.select("a", "b", *SUMS)
             continue
         heads = ranks.select(F.col("a").alias("head_a"), F.col("b").alias("head_b"), *[F.col(s).alias(f"_{s}") for s in SUMS])
-        known = heads.count() * 100
-        joined = own.join(F.broadcast(heads) if known <= BROADCAST_BYTES else heads, ["head_a", "head_b"])
+        joined = own.join(sized(heads, heads.count(), 100), ["head_a", "head_b"])
         ranks = scratch.keep(joined.select("a", "b", *[(F.col(s) + F.col(f"_{s}")).alias(s) for s in SUMS]))
     return ranks
 
