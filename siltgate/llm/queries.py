@@ -16,6 +16,7 @@ from siltgate.llm.preferences import format_preferences, swapped_answers
 from siltgate.llm.prefix_trie import grafted_trie
 from siltgate.llm.secrets import scan_secrets
 from siltgate.llm.substring import remove_repeats
+from siltgate.llm.url_filter import UrlRule, judge_urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,6 +98,18 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grafted_trie(table(spark, sf_dir, "conversations")).drop("enter")
 
 
+URL_RULES = (
+    UrlRule("block", "net"),
+    UrlRule("allow", "example.net", "/en/"),
+    UrlRule("block", "example.com", "/de/"),
+    UrlRule("allow", "org", "/fr/"),
+)
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("block_score")
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -111,6 +124,7 @@ QUERIES: dict[str, Query] = {
         op9_secrets,
         op10_substring,
         op11_prefix_trie,
+        op12_url_filter,
     )
 }
 SQL: dict[str, str] = {

@@ -1,0 +1,92 @@
+"""The URL filter: parts and rules against Python, trees against a plain search, verdicts on URLs with known labels."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from siltgate.llm import queries
+from siltgate.llm.queries import URL_RULES
+from siltgate.llm.url_filter import Boosting, Split, UrlRule, _best, _gain, judge_urls
+
+PAGES = "page_id long, url string"
+FAST = Boosting(trees=2)
+
+
+def plain(url):
+    at = url.find("://") if url else -1
+    if at < 0:
+        return "", "", None
+    rest = url[at + 3 :]
+    ends = [i for i in map(rest.find, "/?#") if i >= 0]
+    host = rest[: min(ends, default=len(rest))]
+    path = rest[len(host) :]
+    path = path[: min([i for i in map(path.find, "?#") if i >= 0], default=len(path))]
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    fits = [r for r in URL_RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return host, path, max((r.name for r in fits), key=len, default=None)
+
+
+def awkward_urls():
+    return [
+        None, "", "no scheme", "://", "http://", "http://net", "http://NET/", "http://a.Net/x?y=/z", "http://example.net/en/",
+        "http://example.net/en", "https://b.example.net/en/1#/x", "http://xexample.net/en/", "http://example.com/de/1",
+        "http://a.b.example.com/de/?q", "http://example.com?/de/", "http://org/fr/", "x://y://example.org/fr/", "http://É.ORG/fr/",
+        "http://example.org:80/fr/", "http://user@example.com/de/", "a://b/c\nd?e", "http://" + "a" * 30_000 + ".net/" + "b/" * 5_000,
+        "http://漢😀.org/fr/😀%20?a&b&c",
+    ]
+
+
+def test_parts_and_rules_against_python(spark):
+    urls = awkward_urls() + awkward_urls()[:9]
+    rows = [(i if i % 4 else None, u, "clash", "clash", 1.0) for i, u in enumerate(urls)]
+    pages = spark.createDataFrame(rows, PAGES + ", host string, rule string, length double")
+    made = judge_urls(pages, URL_RULES, FAST).collect()
+    known = lambda v: tuple(("", x) if x is None else ("1", str(x)) for x in v)
+    assert sorted((known((r.page_id, r.host, r.path, r.rule)) for r in made)) == sorted(
+        known((page, *plain(url))) for page, url, *_ in rows
+    )
+    verdicts = {r.name: r.verdict for r in URL_RULES}
+    assert all(r.verdict == verdicts[r.rule] for r in made if r.rule)
+    assert all(r.verdict in ("block", "allow") and 0 <= r.block_score <= 1 for r in made)
+
+
+def test_of_two_rules_the_longer_decides(spark):
+    rules = [UrlRule("block", "net"), UrlRule("allow", "net", "/a"), UrlRule("block", "x.net", "/a/b")]
+    pages = spark.createDataFrame([(1, "h://x.net/a/b"), (2, "h://x.net/a/c"), (3, "h://x.net/"), (4, "h://x.net")], PAGES)
+    assert {r.page_id: r.rule for r in judge_urls(pages, rules, FAST).collect()} == {1: "x.net/a/b", 2: "net/a", 3: "net/", 4: None}
+
+
+@pytest.mark.parametrize(("urls", "verdict"), [([], None), (["a://com/"], "allow"), (["a://b.net/", "a://c/"], "block"), (["a://org/fr/", None], "allow")])
+def test_without_labels_of_both_kinds(spark, urls, verdict):
+    made = judge_urls(spark.createDataFrame(list(enumerate(urls)), PAGES), URL_RULES, FAST).collect()
+    assert len(made) == len(urls) and {r.verdict for r in made} <= {verdict}
+
+
+def test_best_split_against_all_splits():
+    random, how = np.random.default_rng(1), Boosting()
+    for _ in range(30):
+        g, p = random.normal(size=40), random.random(40)
+        values = random.integers(0, 6, (40, 3)).astype(float)
+        cells = {f"f{j}": {} for j in range(3)}
+        for i in range(40):
+            for j in range(3):
+                old = cells[f"f{j}"].get(values[i, j], (0.0, 0.0))
+                cells[f"f{j}"][values[i, j]] = (old[0] + g[i], old[1] + p[i])
+        found = _best(cells, how)
+        gains = {}
+        for j in range(3):
+            for top in np.unique(values[:, j])[:-1]:
+                left = values[:, j] <= top
+                gains[(f"f{j}", top)] = sum(_gain(g[s].sum(), p[s].sum(), how) for s in (left, ~left)) - _gain(g.sum(), p.sum(), how)
+        best = max(gains, key=gains.get)
+        assert isinstance(found, Split) and gains[(found.feature, found.most)] == pytest.approx(gains[best])
+
+
+def test_labelled_urls_are_told_apart_and_rows_may_lie_anyhow(spark):
+    pages = queries.table(spark, "/root/testdata/sf0.1", "pages")
+    made = judge_urls(pages, URL_RULES).cache()
+    by_rule = made.where("rule is not null").select((F.col("block_score") > 0.5).alias("got"), (F.col("verdict") == "block").alias("due"))
+    right, n = by_rule.agg(F.count_if(F.col("got") == F.col("due")), F.count(F.lit(1))).first()
+    assert n > 900 and right >= 0.97 * n
+    again = judge_urls(pages.repartition(7), URL_RULES)
+    assert made.exceptAll(again).isEmpty() and again.exceptAll(made).isEmpty()
