@@ -155,3 +155,45 @@ SELECT nodes.conv_id, nodes.depth, above.conv_id AS parent_conv_id, nodes.n_conv
        coalesce(n_children, 0) AS n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, nodes.ends_sha256
 FROM nodes JOIN below USING (node) LEFT JOIN families USING (node) LEFT JOIN nodes above ON above.node = nodes.parent
 """
+
+_BYTES = "list_transform(range(1, octet_length(b) + 1), lambda i: CAST('0x' || substr(hex(b), CAST(2 * i - 1 AS BIGINT), 2) AS BIGINT))"
+_SMALL = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SPELLING = f"""
+WITH RECURSIVE found AS (
+  SELECT doc_id, {_SMALL.format("unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+'))")} AS run FROM documents),
+runs AS (
+  SELECT doc_id, run, count(*) AS n, encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run) AS b
+  FROM found WHERE length(run) >= 6 GROUP BY doc_id, run),
+hashed AS (SELECT run, n, {_crc32(_BYTES)} AS h FROM runs),
+spelt AS (
+  SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+            ELSE run END AS word FROM hashed),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+places AS (
+  SELECT word, n, i, substr(word, 1, i - 1) AS head, substr(word, i + 1) AS tail
+  FROM words, unnest(range(1, length(word) + 1)) AS t(i)),
+shorter AS (SELECT DISTINCT p.word AS a, w.word AS b FROM places p JOIN words w ON w.word = p.head || p.tail),
+near AS (
+  SELECT a.word AS word, b.word AS other
+  FROM places a JOIN places b ON a.i = b.i AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION
+  SELECT a, b FROM shorter
+  UNION
+  SELECT b, a FROM shorter),
+best AS (
+  SELECT near.word, other, o.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near
+  FROM near JOIN words o ON o.word = near.other
+  QUALIFY row_number() OVER (PARTITION BY near.word ORDER BY o.n DESC, other) = 1),
+formed AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near,
+         CASE WHEN other_n >= 5 * words.n THEN other END AS form, CASE WHEN other_n >= 5 * words.n THEN other_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+ways AS (
+  SELECT word, word AS place FROM formed
+  UNION ALL
+  SELECT ways.word, formed.form FROM ways JOIN formed ON formed.word = ways.place WHERE formed.form IS NOT NULL),
+ends AS (SELECT ways.word, place AS root FROM ways JOIN formed ON formed.word = place WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""

@@ -15,6 +15,7 @@ from siltgate.llm.packing import pack_documents
 from siltgate.llm.preferences import format_preferences, swapped_answers
 from siltgate.llm.prefix_trie import grafted_trie
 from siltgate.llm.secrets import scan_secrets
+from siltgate.llm.spelling import spelling_variants
 from siltgate.llm.substring import remove_repeats
 from siltgate.llm.url_filter import UrlRule, judge_urls
 
@@ -110,6 +111,10 @@ def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"), URL_RULES).drop("block_score")
 
 
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -125,6 +130,7 @@ QUERIES: dict[str, Query] = {
         op10_substring,
         op11_prefix_trie,
         op12_url_filter,
+        op13_spelling,
     )
 }
 SQL: dict[str, str] = {
@@ -133,4 +139,5 @@ SQL: dict[str, str] = {
     "op6_minhash": oracles.NEAR_DUPLICATES,
     "op10_substring": oracles.SUBSTRING,
     "op11_prefix_trie": oracles.PREFIX_TRIE,
+    "op13_spelling": oracles.SPELLING,
 }
