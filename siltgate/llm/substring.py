@@ -264,7 +264,8 @@ def remove_repeats(docs: DataFrame, sketch: Sketch = Sketch()) -> DataFrame:
     same_window = Window.partitionBy(F.col("covered").isNull(), "h1", "h2").orderBy(
         F.col("doc_id").isNull(), "doc_id", "mark", "start"
     )
-    ranked = found.withColumn("nth", F.row_number().over(same_window)).where("covered is not null or nth > 1")
+    # Rows that agree in id and text send the same window from the same place; none of them stands before the others.
+    ranked = found.withColumn("nth", F.rank().over(same_window)).where("covered is not null or nth > 1")
     covered = (
         ranked.select(
             F.col("doc_id").alias("c_id"),
