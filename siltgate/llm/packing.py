@@ -86,7 +86,8 @@ class Packer:
     A document is cut into pieces of the longest size; what remains is routed to the smallest tier that holds it. Each
     tier packs its own pieces, longest tier first: a window starts with a piece of its tier, and its gap takes, best
     fit, whole pieces of shorter tiers. Where none fits, the next longer one of a shorter tier is cut, so every window
-    is full. What is left at the end becomes sequences of powers of two.
+    is full. Pieces that shorter tiers cannot fill wait for later documents until they come to half a block; then their
+    gaps are filled by cutting pieces of their own tier. What is left at the end becomes sequences of powers of two.
     """
 
     sizes: Sizes
@@ -106,14 +107,15 @@ class Packer:
             self.shelf.put(Piece(document, whole, len(ids) - whole))
         self.tokens += len(ids)
 
-    def _fill(self, window: list[Piece], size: int) -> bool:
-        """Fill the gap from shorter pieces; False if they do not suffice."""
+    def _fill(self, window: list[Piece], size: int, own_tier: bool) -> bool:
+        """Fill the gap from shorter pieces, or else, if asked, from pieces of the same tier; False if they do not suffice."""
         gap = size - sum(p.length for p in window)
         below = size // 2 if size > self.sizes.tiers[0] else size
+        most = size if own_tier else below
         while gap:
             if length := self.shelf.longest(min(gap, below)):
                 window.append(self.shelf.take(length))
-            elif 0 < (length := self.shelf.shortest(gap)) <= below:
+            elif 0 < (length := self.shelf.shortest(gap)) <= most:
                 part, rest = self.shelf.take(length).cut(gap)
                 window.append(part)
                 self.shelf.put(rest)
@@ -122,13 +124,13 @@ class Packer:
             gap = size - sum(p.length for p in window)
         return True
 
-    def _pack(self) -> None:
+    def _pack(self, own_tier: bool = False) -> None:
         for size in reversed(self.sizes.tiers):
             lower = size // 2 if size > self.sizes.tiers[0] else 0
             unfilled = []
             while (length := self.shelf.longest(size)) > lower:
                 window = [self.shelf.take(length)]
-                if self._fill(window, size):
+                if self._fill(window, size, own_tier):
                     self.waiting.setdefault(size, []).append(window)
                 else:
                     unfilled += window
@@ -171,11 +173,16 @@ class Packer:
         ready.sort(key=lambda x: x[:2])
         return (group for _, _, group in ready)
 
+    def _held(self) -> int:
+        return sum(length * len(p) for length, p in self.shelf.by_length.items())
+
     def flush(self, last: bool = False) -> dict[str, list]:
         self._pack()
+        if self._held() > self.sizes.block_tokens // 2:
+            self._pack(own_tier=True)
         if last:
             self._close()
-        self.tokens = sum(length * len(p) for length, p in self.shelf.by_length.items())
+        self.tokens = self._held()
         out: dict[str, list] = {name: [] for name in [c.split()[0] for c in PIECES.split(", ")] + ["ids"]}
         for group in self._groups(last):
             for window in group:

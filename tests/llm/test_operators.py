@@ -86,15 +86,17 @@ def test_packing_is_an_exact_cut_without_padding(spark):
         total = sum(n for _, n, _ in held)
         assert total <= 1024 and total & (total - 1) == 0 and {t for _, _, t in held} == {total}
     assert sum(p.length for p in pieces if p.start == 0) > 0
-    named = defaultdict(list)
+    # Rows that repeat an id are documents each, so places are counted: every place of every document, once for each row.
+    due, got = defaultdict(int), defaultdict(int)
+    bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for row in docs.select("doc_id", "text").collect():
+        for place, token in enumerate([*bpe.encode(row.text or "", add_special_tokens=False).ids, 0]):
+            due[(row.doc_id, place, token)] += 1
     for p in pieces:
-        if p.doc_id in (1, 5, 7):
-            named[p.doc_id].append((p.start, p.length, p.doc_tokens))
-    for held in named.values():
-        held.sort()
-        assert [s for s, _, _ in held] == [sum(n for _, n, _ in held[:i]) for i in range(len(held))]
-        assert sum(n for _, n, _ in held) == held[0][2]
-    assert named[1] == [(0, 1, 1)]
+        for place, token in enumerate(p.ids, p.start):
+            got[(p.doc_id, place, token)] += 1
+    assert got == due
+    assert [(p.start, p.length, p.doc_tokens) for p in pieces if p.doc_id == 1] == [(0, 1, 1)]
     assert pack_documents(docs.limit(0)).count() == 0
 
 
@@ -109,6 +111,30 @@ def test_step_groups_hold_the_same_tokens():
     assert set(tokens.values()) == {8192}
 
 
+@pytest.mark.parametrize("lengths", [[600], [513], [1024], [1, 600], [129], [700, 513, 1000]])
+def test_documents_of_one_tier_do_not_pile_up(lengths):
+    sizes = Sizes(block_tokens=1 << 17)
+    packer, flushes, held, seen = Packer(sizes, 0), 0, 0, defaultdict(list)
+
+    def take(out):
+        for doc, start, length in zip(out["doc_id"], out["start"], out["length"], strict=True):
+            seen[doc].append((start, length))
+
+    for i in range(20_000):
+        packer.add(i, np.zeros(lengths[i % len(lengths)], "<u4"))
+        held = max(held, packer.tokens)
+        if packer.tokens >= sizes.block_tokens:
+            flushes += 1
+            take(packer.flush())
+    take(packer.flush(last=True))
+    total = sum(lengths[i % len(lengths)] for i in range(20_000))
+    assert held < 2 * sizes.block_tokens and flushes <= 2 * total // sizes.block_tokens + 1
+    for i in range(20_000):
+        cuts = sorted(seen[i])
+        ends = [s + n for s, n in cuts]
+        assert [s for s, _ in cuts] == [0, *ends[:-1]] and ends[-1] == lengths[i % len(lengths)]
+
+
 # ---- near duplicates -----------------------------------------------------------------------------------------------
 
 
@@ -481,6 +507,18 @@ def test_repeats_against_python(spark):
     assert remove_repeats(rows(spark, *docs).limit(0), SMALL).count() == 0
 
 
+@pytest.mark.parametrize("sketch", [Sketch(cell_bits=12, block_bits=10), SMALL])
+@pytest.mark.parametrize("parts", [1, 4, 7])
+def test_repeated_rows_do_not_remove_one_another(spark, sketch, parts):
+    own, other, twice = prose(21, 80), prose(22, 70), prose(23, 60) + " " + prose(23, 60)
+    pairs = [(6, own), (6, own), (None, other), (None, other), (8, twice), (8, twice), (8, twice), (9, prose(24, 30))]
+    docs = rows(spark, *pairs).repartition(parts)
+    # One document each, however often its row is there: nothing but the second half of `twice` repeats.
+    made = {(r.doc_id, r.n_words, r.n_removed) for r in remove_repeats(docs, sketch).collect()}
+    assert made == {(6, 80, 0), (None, 70, 0), (8, 120, 60), (9, 30, 0)}
+    assert remove_repeats(docs, sketch).count() == len(pairs)
+
+
 def test_queries_have_the_promised_columns(spark):
     folder = "/root/testdata/sf0.001"
     promised = {
