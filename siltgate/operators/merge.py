@@ -74,7 +74,7 @@ def measure_keys(new: DataFrame, key: Sequence[str], stamp: str) -> DayKeys:
     )
 
 
-def _by_presence(
+def by_presence(
     existing: DataFrame, keys: DataFrame, key: Sequence[str], has_null: bool, how: str
 ) -> DataFrame:
     """Rows of the snapshot whose key is among the day's (`left_semi`) or not (`left_anti`); NULL equals NULL.
@@ -125,10 +125,10 @@ def scd1_touched(
         return existing.select(*new.columns)
     keys = key_table(new, key)
     keys = F.broadcast(keys) if day.bytes <= broadcast_bytes else keys.hint("merge")
-    untouched = _by_presence(existing, keys, key, day.has_null, "left_anti")
+    untouched = by_presence(existing, keys, key, day.has_null, "left_anti")
     if _all_newer(day, existing, stamp, newest_old):
         return append(untouched, latest_per_key(new, key, stamp, tie_break))
-    touched = _by_presence(existing, keys, key, day.has_null, "left_semi")
+    touched = by_presence(existing, keys, key, day.has_null, "left_semi")
     return append(untouched, scd1_window(touched, new, key, stamp, tie_break))
 
 
@@ -157,10 +157,10 @@ def scd1_bucketed(
         newest_new = latest_per_key(new.repartition(buckets, *key), key, stamp, tie_break)
         distinct = new.select(*key).repartition(buckets, *key).distinct()
     keys = renamed_key(distinct, key).hint("shuffle_hash")
-    untouched = _by_presence(existing, keys, key, day.has_null, "left_anti")
+    untouched = by_presence(existing, keys, key, day.has_null, "left_anti")
     if _all_newer(day, existing, stamp, newest_old):
         return append(untouched, newest_new)
-    touched = _by_presence(existing, keys, key, day.has_null, "left_semi")
+    touched = by_presence(existing, keys, key, day.has_null, "left_semi")
     return append(untouched, scd1_window(touched, newest_new, key, stamp, tie_break))
 
 

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
 from siltgate.functions.dates import load_stamp
-from siltgate.functions.rules import scrub
+from siltgate.functions.rules import column_type, scrub
+from siltgate.operators.columns import reconciled
 from siltgate.operators.keys import BROADCAST_BYTES
 from siltgate.operators.latest import latest_per_key
 from siltgate.operators.merge import append, scd1, scd1_bucketed
@@ -96,8 +97,13 @@ def merge_day(
     existing = read_snapshot(spark, base, prior_date)
     unique = is_unique_on(existing, contract.key)
     newest = _noted_newest(read_note(spark, base, prior_date).get("newest"))
-    if contract.buckets and is_bucketed_by(existing, contract.key, contract.buckets):
+    laid_out = None
+    if contract.buckets and is_bucketed_by(existing, contract.key, contract.buckets) and _same_key(existing, good, contract):
         laid_out = read_bucketed(spark, base, prior_date)
+        laid_out, good = reconciled(laid_out, good)
+    else:
+        existing, good = reconciled(existing, good)
+    if laid_out is not None:
         if unique:
             return scd1_bucketed(
                 laid_out, good, contract.key, contract.buckets, tie_break=contract.tie_break, newest_old=newest
@@ -117,6 +123,11 @@ def merge_day(
     return merged.repartition(contract.buckets, *contract.key) if contract.buckets else merged
 
 
+def _same_key(existing: DataFrame, good: DataFrame, contract: Contract) -> bool:
+    """Whether the key has the snapshot's types; hashes of a wider type would not fit its buckets."""
+    return all(column_type(existing.schema, k) == column_type(good.schema, k) for k in contract.key)
+
+
 def _noted_newest(noted: int | str | None) -> int | datetime | None:
     return datetime.fromisoformat(noted) if isinstance(noted, str) else noted
 

@@ -25,6 +25,7 @@ from siltgate.sources.storage import (
     read_note_text,
     remove,
     replace_folder,
+    restore_parked,
     subfolders,
     write_note,
 )
@@ -57,13 +58,14 @@ def write_snapshot(
     Files follow the partitions of `df`, so the write adds no shuffle and no single-task funnel. `unique_on` notes a
     key known to be unique in the schema, where parquet keeps it together with the rows. With `buckets` the rows are
     also laid out in that many files by hash of `bucket_key`, by default the unique key; `df` should be partitioned
-    alike, as each of its tasks writes one file per bucket it holds. A bucketed snapshot is written beside the one it
-    replaces and takes its place when complete. Bucketed writes and reads need a current database in which the session
+    alike, as each of its tasks writes one file per bucket it holds. A snapshot that replaces another is written beside
+    it and takes its place when complete, so a run that fails leaves the old one. Bucketed writes and reads need a current database in which the session
     may create and drop a table. The number of rows, from the files' footers, and the `newest` stamp, if given, are
     noted in a small file of the folder.
     """
     bucket_key = bucket_key or unique_on
     spark, path = df.sparkSession, snapshot_path(base, load_date)
+    restore_parked(spark, base)
     mode = mode_for(spark, path, mode)
     noted = _note_key(df.drop(DATE_COLUMN), unique_on, buckets, bucket_key)
     writer = (
@@ -71,12 +73,19 @@ def write_snapshot(
         .mode(mode)
         .options(maxRecordsPerFile=max_records_per_file, **WITH_MARKER)
     )
-    if not buckets:
+    beside = join_path(base, f"_{uuid.uuid4().hex}")
+    if not buckets and mode == "overwrite" and is_complete(spark, path):
+        try:
+            writer.save(beside)
+            replace_folder(spark, beside, path)
+        finally:
+            remove(spark, beside)
+    elif not buckets:
         writer.save(path)
     else:
         if exists(spark, path) and mode == "errorifexists":
             raise FileExistsError(path)
-        name, beside = _table_name(), join_path(base, f"_{uuid.uuid4().hex}")
+        name = _table_name()
         try:
             writer.bucketBy(buckets, *bucket_key).option("path", beside).saveAsTable(name)
         finally:

@@ -6,10 +6,12 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Write option for the `_SUCCESS` marker, which a cluster may have turned off.
 WITH_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": True}
+PARKED = "_parked_"
 
 
 def join_path(*parts: str | int) -> str:
@@ -40,6 +42,32 @@ def _entries(spark: SparkSession, path: str) -> dict[str, bool]:
     return {s.getPath().getName(): s.isDirectory() for s in fs.listStatus(hadoop_path)}
 
 
+def entries(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly below `path`, none if it does not exist."""
+    return sorted(_entries(spark, path))
+
+
+def sizes_below(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of the files directly below `path`, by name."""
+    fs, hadoop_path = _open(spark, path)
+    return {s.getPath().getName(): s.getLen() for s in fs.listStatus(hadoop_path) if s.isFile()}
+
+
+def add_file(spark: SparkSession, new: str, path: str) -> bool:
+    """Move a file to a place where there is none yet; False if there is one."""
+    files = spark._jvm.org.apache.hadoop.fs
+    source = files.Path(new)
+    context = files.FileContext.getFileContext(source.toUri(), spark._jsc.hadoopConfiguration())
+    none = spark.sparkContext._gateway.new_array(files.Options.Rename, 0)
+    try:
+        context.rename(source, files.Path(path), none)
+    except Py4JJavaError as error:
+        if exists(spark, path):
+            return False
+        raise OSError(f"{new} could not be moved to {path}") from error
+    return True
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below `path`, none if it does not exist."""
     return sorted(name for name, is_folder in _entries(spark, path).items() if is_folder)
@@ -65,11 +93,30 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def replace_folder(spark: SparkSession, new: str, path: str) -> None:
-    """Put a complete folder in the place of another, which is removed only then."""
+    """Put a complete folder in the place of another, which is parked beside it until then and comes back if that fails."""
     fs, target = _open(spark, path)
-    remove(spark, path)
-    if not fs.rename(_open(spark, new)[1], target):
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    parked = join_path(parent, f"{PARKED}{name}")
+    if fs.exists(target):
+        remove(spark, parked)
+        if not fs.rename(target, _open(spark, parked)[1]):
+            raise OSError(f"{path} could not be moved aside")
+    try:
+        moved = fs.rename(_open(spark, new)[1], target)
+    finally:
+        restore_parked(spark, parent)
+    if not moved:
         raise OSError(f"{new} could not be moved to {path}")
+    remove(spark, parked)
+
+
+def restore_parked(spark: SparkSession, parent: str) -> None:
+    """Bring back folders that a run which died in `replace_folder` left parked, where nothing took their place."""
+    for name in subfolders(spark, parent):
+        place = join_path(parent, name.removeprefix(PARKED))
+        if name.startswith(PARKED) and not exists(spark, place):
+            fs, parked = _open(spark, join_path(parent, name))
+            fs.rename(parked, _open(spark, place)[1])
 
 
 def scratch_folder(spark: SparkSession) -> str:
