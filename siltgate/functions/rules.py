@@ -28,6 +28,8 @@ BOOLEAN_WORDS = {True: ("y", "true"), False: ("n", "false")}
 _FIRST_OTHER = rf"(?s)\A[{ALLOWED_CHARACTERS}]*+(.?)"
 
 CORRUPT_COLUMN = "corrupt_line"
+# Where a row was read: file and start of its block in it.
+ORIGIN = "_origin"
 
 Check = tuple[Column, Column]
 
@@ -128,6 +130,22 @@ def _all_checks(rules: Iterable[Rule], schema: StructType) -> list[Check]:
     return [check for rule in rules for check in rule.checks(schema)]
 
 
+def named_checks(rules: Iterable[Rule], schema: StructType) -> list[tuple[str, Column]]:
+    """Each check under a fixed name, as `blank:seg`: the reason without what a single row adds to it."""
+    names = []
+    for rule in rules:
+        if isinstance(rule, Corrupt):
+            names.append("corrupt_record")
+        else:
+            kind, columns = {
+                SpecialChar: ("special_char", getattr(rule, "columns", ())),
+                Blank: ("blank", getattr(rule, "columns", ())),
+                CodeLength: ("code_length", getattr(rule, "lengths", {})),
+            }[type(rule)]
+            names += [f"{kind}:{c}" for c in columns]
+    return [(name, check) for name, (check, _) in zip(names, _all_checks(rules, schema), strict=True)]
+
+
 def rejected(rules: Iterable[Rule], schema: StructType) -> Column:
     """True for a row that breaks any rule, false otherwise, never NULL."""
     return reduce(lambda a, b: a | b, [p for p, _ in _all_checks(rules, schema)], F.lit(False))

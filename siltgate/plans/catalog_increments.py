@@ -8,17 +8,26 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltgate.operators.split import stage_split
 from siltgate.plans.catalog import (
+    BLANK,
+    BLANK_SQL,
     CUSTOMER_KEY,
     DAY_ONE,
     DAY_TWO,
     DAYS,
+    DIRTY_SCHEMA,
+    DIRTY_SQL,
     LATEST_LINES_SQL,
-    LATEST_ORDERS_SQL,
+    LENGTH,
+    LENGTH_SQL,
     LINE_KEY,
     ORDERS_RANK_SQL,
+    SPECIAL,
+    SPECIAL_SQL,
     STAMPS,
     _place,
+    dirty_customer,
     register,
     stamp,
     table,
@@ -26,6 +35,9 @@ from siltgate.plans.catalog import (
 from siltgate.plans.contracts import Contract
 from siltgate.plans.daily import read_loaded, run_load
 from siltgate.plans.increments import Increments, compact, load_day, read_as_of
+from siltgate.sources.feed import scan_csv_named
+from siltgate.sources.quarantine import read_quarantine
+from siltgate.sources.snapshot import read_snapshot, write_snapshot
 from siltgate.sources.storage import join_path, scratch_folder
 
 # Years of shipping that make a day each; the first and the last are open.
@@ -121,6 +133,57 @@ def backfill_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, read)
 
 
+@register(
+    f"""
+    WITH {DIRTY_SQL}
+    SELECT 'special_char:nm' AS reason, count(*) FILTER (WHERE {SPECIAL_SQL.format("nm")} <> '') AS rows FROM dirty
+    UNION ALL SELECT 'special_char:seg', count(*) FILTER (WHERE {SPECIAL_SQL.format("seg")} <> '') FROM dirty
+    UNION ALL SELECT 'blank:seg', count(*) FILTER (WHERE {BLANK_SQL}) FROM dirty
+    UNION ALL SELECT 'code_length:code2', count(*) FILTER (WHERE NOT {LENGTH_SQL}) FROM dirty
+    """
+)
+def dq_counts_by_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per broken check, observed during the one write of the staged split."""
+    counts = stage_split(dirty_customer(spark, sf_dir), [SPECIAL, BLANK, LENGTH], join_path(scratch_folder(spark), "judged"))
+    return spark.createDataFrame(list(counts.by_reason.items()), "reason string, rows long")
+
+
+@register("SELECT * FROM lineitem")
+def sized_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of which one task holds nearly all, written to files of like size."""
+    base, lines = join_path(scratch_folder(spark), "lines"), table(spark, sf_dir, "lineitem")
+    skewed = lines.repartition(8, F.greatest(F.col("l_orderkey") % 40, F.lit(33)))
+    write_snapshot(skewed, base, 20240101, file_bytes=1 << 19)
+    return read_snapshot(spark, base, 20240101)
+
+
+@register("SELECT c_custkey, c_name AS nm, c_mktsegment AS seg FROM customer WHERE c_custkey % 3 <> 2")
+def csv_scan_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files whose headers name the columns in another order, or more of them; one without a declared column is refused."""
+    folder, customers = join_path(scratch_folder(spark), "feed"), table(spark, sf_dir, "customer")
+    names = {"c_custkey": F.col("c_custkey"), "nm": F.col("c_name"), "seg": F.col("c_mktsegment"), "more": F.lit("x")}
+    for part, header in enumerate((["c_custkey", "nm", "seg"], ["seg", "more", "NM", "c_custkey"], ["c_custkey", "nm"])):
+        shown = [names[h.lower()].alias(h) for h in header]
+        rows = customers.filter(F.col("c_custkey") % 3 == part).select(*shown)
+        rows.coalesce(1).write.mode("append").csv(folder, header=True)
+    found, refused = scan_csv_named(spark, folder, "c_custkey bigint, nm string, seg string")
+    if list(refused.values()) != ["missing: seg"]:
+        raise AssertionError(refused)
+    return found
+
+
+@register(f"WITH {DIRTY_SQL} SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'even' ELSE 'odd' END AS file FROM dirty WHERE {BLANK_SQL}")
+def quarantine_with_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows lead back to the files they came from."""
+    layout = _place(spark)
+    for name, rows in (("even", "c_custkey % 2 = 0"), ("odd", "c_custkey % 2 = 1")):
+        dirty_customer(spark, sf_dir).filter(rows).write.csv(join_path(layout.feed("customer", DAYS[0]), f"file={name}"))
+    contract = Contract("customer", DIRTY_SCHEMA, quality="blank", check_columns=("seg",), origin=True)
+    run_load(spark, contract, layout, DAYS[0], stamp(STAMPS[DAYS[0]]), input_path=join_path(layout.feed("customer", DAYS[0]), "*"))
+    bad = read_quarantine(spark, layout.quarantine("customer", DAYS[0]), f"{DIRTY_SCHEMA}, _origin string, reject_reasons string")
+    return bad.select("c_custkey", F.regexp_extract("_origin", "file=([a-z]+)/[^/]+@0$", 1).alias("file"))
+
+
 def _changing_columns(spark: SparkSession, sf_dir: str, shapes: list[tuple[str, list[str], str]]) -> DataFrame:
     """A load per day, each under a schema of its own: (schema, columns of customer, filter)."""
     layout = _place(spark)

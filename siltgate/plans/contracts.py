@@ -26,6 +26,7 @@ class Contract:
     do not fit the schema are NULL unless `keep_corrupt` sends their lines to quarantine, as it does by default for `scd1`. `append` sources store a
     day's rows as that day's folder; the other modes store the whole table per day. With `buckets`, snapshots of an
     `scd1` source are laid out by hash of the key, so that merging does not move them however much a day changes.
+    With `origin`, quarantined rows say in which file and block they were read.
     `key_type` casts the key (of one column, declared as text) before rows are merged; text that does not fit is NULL.
     """
 
@@ -41,6 +42,7 @@ class Contract:
     header: bool = False
     flags: tuple[str, ...] = ()
     keep_corrupt: bool | None = None
+    origin: bool = False
     key_type: str | None = None
     blank_values: tuple[str, ...] = BLANK_VALUES
     scrub_values: tuple[str, ...] = SCRUB_VALUES

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Literal
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, TimestampType
 
 from siltgate.functions.dates import load_stamp
-from siltgate.functions.rules import column_type, scrub
+from siltgate.functions.rules import ORIGIN, column_type, scrub
 from siltgate.operators.columns import reconciled
 from siltgate.operators.keys import BROADCAST_BYTES
 from siltgate.operators.latest import latest_per_key
@@ -57,7 +57,7 @@ class Layout:
 
 @dataclass(frozen=True)
 class LoadReport:
-    """Row counts of one load, taken from the files it committed."""
+    """Row counts of one load, observed in the jobs that wrote its rows; `by_reason` counts a row for each check it broke."""
 
     source: str
     run_date: int
@@ -66,6 +66,7 @@ class LoadReport:
     bad_rows: int
     total_rows: int
     snapshot: str
+    by_reason: dict[str, int] = field(default_factory=dict)
 
 
 def scan_feed(spark: SparkSession, contract: Contract, path: str) -> DataFrame:
@@ -77,6 +78,7 @@ def scan_feed(spark: SparkSession, contract: Contract, path: str) -> DataFrame:
         header=contract.header,
         keep_corrupt=contract.keep_corrupt,
         flags=contract.flags,
+        origin=contract.origin,
     )
     if contract.key_type:
         rows = rows.withColumns({k: F.col(k).try_cast(contract.key_type) for k in contract.key})
@@ -153,11 +155,12 @@ def run_load(
     snapshot_mode: Literal["overwrite", "errorifexists"] = "overwrite",
     sort_by_key: bool = False,
     max_records_per_file: int = 0,
+    file_bytes: int = 0,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> LoadReport:
     """Load the feed of `run_date`. A rerun replaces the snapshot of that date and no other.
 
-    Every snapshot is kept. `sort_by_key` also orders the snapshot by key as a whole, at the price of moving it and
+    Every snapshot is kept. `file_bytes` brings its files to about that size. `sort_by_key` also orders the snapshot by key as a whole, at the price of moving it and
     of any bucketing.
     """
     source, base = contract.source, layout.snapshots(contract.source)
@@ -169,9 +172,9 @@ def run_load(
     try:
         if stage:
             judged = join_path(stage, "judged")
-            stage_split(rows, contract.rules, judged)
+            counts = stage_split(rows, contract.rules, judged)
             staged = read_stage(spark, judged, rows.schema, load_ts)
-            good, good_rows, bad_rows = staged.good, staged.good_rows, staged.bad_rows
+            good, good_rows, bad_rows, by_reason = staged.good, counts.good_rows, counts.bad_rows, counts.by_reason
             if contract.rules:
                 write_quarantine(
                     staged.bad,
@@ -181,7 +184,7 @@ def run_load(
                     mode="overwrite" if snapshot_mode == "overwrite" else contract.quarantine_mode,
                 )
         else:
-            good, good_rows, bad_rows = load_stamp(rows, load_ts), None, 0
+            good, good_rows, bad_rows, by_reason = load_stamp(rows.drop(ORIGIN), load_ts), None, 0, {}
 
         merged = merge_day(spark, contract, base, prior_date, good, broadcast_bytes)
         if sort_by_key and contract.key:
@@ -205,6 +208,7 @@ def run_load(
             bucket_key=contract.key,
             newest=None if unknown else _newest(spark, load_ts, noted),
             max_records_per_file=max_records_per_file,
+            file_bytes=0 if sort_by_key else file_bytes,
         )
     finally:
         if stage:
@@ -214,7 +218,7 @@ def run_load(
     dates = [d for d in snapshot_dates(spark, base) if d <= run_date] if contract.merge_mode == "append" else []
     total = sum(_rows(spark, base, d) for d in dates) if dates else written
     return LoadReport(
-        source, run_date, prior_date, written if good_rows is None else good_rows, bad_rows, total, path
+        source, run_date, prior_date, written if good_rows is None else good_rows, bad_rows, total, path, by_reason
     )
 
 

@@ -23,6 +23,7 @@ from siltgate.operators.columns import under, widened
 from siltgate.operators.keys import BROADCAST_BYTES, key_table
 from siltgate.operators.latest import latest_per_key
 from siltgate.operators.merge import by_presence, measure_keys, scd1_touched
+from siltgate.operators.split import observed
 from siltgate.sources.published import Base, Part, State, new_folder, publish, read_state
 from siltgate.sources.storage import WITH_MARKER, join_path, sizes_below
 
@@ -59,10 +60,10 @@ def _write(spark: SparkSession, table: Increments, df: DataFrame) -> Part:
     watched = df.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("newest"))
     watched.write.options(**WITH_MARKER).parquet(join_path(table.folder, place))
     sizes = {n: b for n, b in sizes_below(spark, join_path(table.folder, place)).items() if not n.startswith(("_", "."))}
-    held = seen.get
-    newest_seen = held["newest"].isoformat() if isinstance(held["newest"], datetime) else held["newest"]
-    known = newest_seen if isinstance(newest_seen, int | str) else None
-    return Part(tuple(join_path(place, n) for n in sorted(sizes)), sum(sizes.values()), held["rows"], known)
+    held = observed(seen)
+    last = held.get("newest")
+    known = last.isoformat() if isinstance(last, datetime) else last if isinstance(last, int | str) else None
+    return Part(tuple(join_path(place, n) for n in sorted(sizes)), sum(sizes.values()), held.get("rows", 0), known)
 
 
 def _newest(part: Part, stamp_is_time: bool) -> Any:

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import csv
 import re
+from collections import Counter
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
-from siltgate.functions.rules import CORRUPT_COLUMN, boolean_flag
+from siltgate.functions.rules import CORRUPT_COLUMN, ORIGIN, boolean_flag
+from siltgate.sources.storage import files_at, first_line
 
 # Declared type names and the Spark types they stand for; any other name is read as text.
 DECLARED_TYPES = {
@@ -51,6 +55,7 @@ def scan_csv(
     header: bool = False,
     keep_corrupt: bool = False,
     flags: Sequence[str] = (),
+    origin: bool = False,
 ) -> DataFrame:
     """Read a CSV file, or all files of a folder, under a declared schema matched by position.
 
@@ -68,6 +73,9 @@ def scan_csv(
         read = read.add(CORRUPT_COLUMN, "string")
         reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     rows = reader.schema(read).csv(path)
+    if origin:
+        place = F.concat_ws("@", "_metadata.file_path", F.col("_metadata.file_block_start").cast("string"))
+        rows = rows.select("*", place.alias(ORIGIN))
     if keep_corrupt:
         # The reader judges only the columns a query asks for, so one that selects fewer would see fewer broken lines.
         # An always-true test over all columns keeps them in the scan and the verdict the same for every query.
@@ -82,6 +90,41 @@ def scan_csv(
     return rows.withColumns({f.name: boolean_flag(f.name) for f in declared.fields if f.name.lower() in flagged})
 
 
+def scan_csv_named(
+    spark: SparkSession, path: str, schema: StructType | str, **options
+) -> tuple[DataFrame, dict[str, str]]:
+    """As `scan_csv` for files with a header, but columns are matched by name, in any order and any case.
+
+    Of each file the driver reads the first line; files of equal headers are then scanned together. Columns that are
+    not declared are left out. Returns the rows under the declared schema and the files that were refused, each with
+    the reason: a declared column is missing or there twice, or the file has no header. Nothing of those is read.
+    """
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    wanted = {f.name.lower(): f for f in declared.fields}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    refused = {}
+    for file in files_at(spark, path):
+        names = tuple(n.strip().lower() for n in next(csv.reader([first_line(spark, file)]), []))
+        often = Counter(names)
+        missing = [f.name for n, f in wanted.items() if not often[n]]
+        twice = [f.name for n, f in wanted.items() if often[n] > 1]
+        if missing or twice:
+            refused[file] = "; ".join(f"{what}: {', '.join(c)}" for what, c in (("missing", missing), ("twice", twice)) if c)
+        else:
+            groups.setdefault(names, []).append(file)
+    scans = []
+    for names, files in sorted(groups.items()):
+        # Other columns are read as text under names that clash with none.
+        shape = StructType([wanted.get(n, StructField(f"_other_{i}", StringType())) for i, n in enumerate(names)])
+        rows = scan_csv(spark, files, shape, header=True, **options)
+        scans.append(rows.drop(*[f.name for f in shape.fields if f.name.startswith("_other_")]))
+    if not scans:
+        return spark.createDataFrame([], declared), refused
+    # The first scan settles the order of columns that options add.
+    added = [c for c in scans[0].columns if c.lower() not in wanted]
+    return reduce(DataFrame.unionByName, scans).select(*declared.names, *added), refused
+
+
 def as_text(df: DataFrame) -> DataFrame:
     """Nested reasons as one text column, for sinks that hold flat text only."""
     return df.withColumns(

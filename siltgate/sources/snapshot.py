@@ -10,9 +10,10 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Sequence
+from contextlib import AbstractContextManager, nullcontext
 from typing import Any, Literal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -26,6 +27,7 @@ from siltgate.sources.storage import (
     remove,
     replace_folder,
     restore_parked,
+    settings,
     subfolders,
     write_note,
 )
@@ -52,50 +54,71 @@ def write_snapshot(
     bucket_key: Sequence[str] = (),
     newest: Any = None,
     max_records_per_file: int = 0,
+    file_bytes: int = 0,
 ) -> str:
     """Write one snapshot; `errorifexists` refuses to replace a date. Returns its folder.
 
-    Files follow the partitions of `df`, so the write adds no shuffle and no single-task funnel. `unique_on` notes a
+    Files follow the partitions of `df`, so the write adds no shuffle and no single-task funnel. With `file_bytes` the
+    rows are dealt out anew, and adaptive execution cuts and joins them, by their sizes in the shuffle, to files of
+    about that size however `df` is skewed. `unique_on` notes a
     key known to be unique in the schema, where parquet keeps it together with the rows. With `buckets` the rows are
     also laid out in that many files by hash of `bucket_key`, by default the unique key; `df` should be partitioned
     alike, as each of its tasks writes one file per bucket it holds. A snapshot that replaces another is written beside
     it and takes its place when complete, so a run that fails leaves the old one. Bucketed writes and reads need a current database in which the session
-    may create and drop a table. The number of rows, from the files' footers, and the `newest` stamp, if given, are
-    noted in a small file of the folder.
+    may create and drop a table. The number of rows, observed while they are written, and the `newest` stamp, if given,
+    are noted in a small file of the folder.
     """
     bucket_key = bucket_key or unique_on
     spark, path = df.sparkSession, snapshot_path(base, load_date)
     restore_parked(spark, base)
     mode = mode_for(spark, path, mode)
-    noted = _note_key(df.drop(DATE_COLUMN), unique_on, buckets, bucket_key)
+    noted, seen = _note_key(df.drop(DATE_COLUMN), unique_on, buckets, bucket_key), Observation()
+    dealt = noted.hint("rebalance") if file_bytes and not buckets else noted
     writer = (
-        noted.write.format("parquet")
+        dealt.observe(seen, F.count(F.lit(1)).alias("rows"))
+        .write.format("parquet")
         .mode(mode)
         .options(maxRecordsPerFile=max_records_per_file, **WITH_MARKER)
     )
     beside = join_path(base, f"_{uuid.uuid4().hex}")
-    if not buckets and mode == "overwrite" and is_complete(spark, path):
-        try:
-            writer.save(beside)
+    with _sizing(spark, file_bytes):
+        if not buckets and mode == "overwrite" and is_complete(spark, path):
+            try:
+                writer.save(beside)
+                replace_folder(spark, beside, path)
+            finally:
+                remove(spark, beside)
+        elif not buckets:
+            writer.save(path)
+        else:
+            if exists(spark, path) and mode == "errorifexists":
+                raise FileExistsError(path)
+            name = _table_name()
+            try:
+                writer.bucketBy(buckets, *bucket_key).option("path", beside).saveAsTable(name)
+            finally:
+                spark.sql(f"DROP TABLE IF EXISTS {name}")
             replace_folder(spark, beside, path)
-        finally:
-            remove(spark, beside)
-    elif not buckets:
-        writer.save(path)
-    else:
-        if exists(spark, path) and mode == "errorifexists":
-            raise FileExistsError(path)
-        name = _table_name()
-        try:
-            writer.bucketBy(buckets, *bucket_key).option("path", beside).saveAsTable(name)
-        finally:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-        replace_folder(spark, beside, path)
-    rows = count_rows(spark.read.parquet(path)) if noted.columns else 0
+    rows = (seen.get or {}).get("rows", 0)
     write_note(spark, join_path(path, NOTE), json.dumps({"rows": rows, "newest": newest}))
     return path
 
 
+def _sizing(spark: SparkSession, file_bytes: int) -> AbstractContextManager:
+    """Adaptive execution goes by size alone, and has pieces small enough to make files of that size from."""
+    if not file_bytes:
+        return nullcontext()
+    pieces = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return settings(
+        spark,
+        spark_sql_adaptive_enabled="true",
+        spark_sql_adaptive_advisoryPartitionSizeInBytes=str(file_bytes),
+        spark_sql_adaptive_coalescePartitions_enabled="true",
+        spark_sql_adaptive_coalescePartitions_parallelismFirst="false",
+        spark_sql_adaptive_coalescePartitions_initialPartitionNum=str(pieces),
+    )
+
+
 def read_note(spark: SparkSession, base: str, load_date: int) -> dict:
     """`rows` and `newest` of a snapshot, empty if it was written without a note."""
     text = read_note_text(spark, join_path(snapshot_path(base, load_date), NOTE))

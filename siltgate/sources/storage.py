@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -53,6 +55,26 @@ def sizes_below(spark: SparkSession, path: str) -> dict[str, int]:
     return {s.getPath().getName(): s.getLen() for s in fs.listStatus(hadoop_path) if s.isFile()}
 
 
+def files_at(spark: SparkSession, path: str) -> list[str]:
+    """The data files that Spark would read at a file or folder: those directly in it whose names are not hidden."""
+    fs, hadoop_path = _open(spark, path)
+    found = fs.listStatus(hadoop_path)
+    return sorted(
+        s.getPath().toString() for s in found if s.isFile() and s.getLen() and not s.getPath().getName().startswith(("_", "."))
+    )
+
+
+def first_line(spark: SparkSession, path: str) -> str:
+    """The first line of a text file, of which no more is read than a buffer holds."""
+    fs, hadoop_path = _open(spark, path)
+    java = spark._jvm.java
+    reader = java.io.BufferedReader(java.io.InputStreamReader(fs.open(hadoop_path), "UTF-8"))
+    try:
+        return (reader.readLine() or "").removeprefix("\ufeff")
+    finally:
+        reader.close()
+
+
 def add_file(spark: SparkSession, new: str, path: str) -> bool:
     """Move a file to a place where there is none yet; False if there is one."""
     files = spark._jvm.org.apache.hadoop.fs
@@ -143,6 +165,20 @@ def clear_scratch(spark: SparkSession, folder: str) -> None:
     remove(spark, folder)
 
 
+@contextmanager
+def settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Session settings for the jobs run inside, put back afterwards; `_` in a name stands for `.`."""
+    names = {n.replace("_", "."): v for n, v in values.items()}
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for name, value in names.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     """A small text file from any file system, as for schemas."""
     return "\n".join(row["value"] for row in spark.read.text(path, wholetext=True).collect())
