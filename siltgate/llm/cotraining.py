@@ -94,13 +94,22 @@ def logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int = 60,
 
 
 def _stacked(columns_: list[np.ndarray], y: np.ndarray) -> np.ndarray:
-    """Coefficients, not below zero, of log-odds and a constant, by Newton steps."""
-    x = np.stack([*columns_, np.ones(len(y))], axis=1)
-    beta = np.zeros(x.shape[1])
-    for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        beta += np.linalg.solve((x.T * (p * (1 - p) + 1e-6)) @ x + 0.05 * np.eye(len(beta)), x.T @ (y - p) - 0.05 * beta)
-    return np.concatenate([np.maximum(beta[:-1], 0), beta[-1:]])
+    """Coefficients, not below zero, of log-odds and a constant, by Newton steps.
+
+    Where one would be negative, the least of them is left out and the others and the constant are fitted again, so
+    that the constant always belongs to the coefficients that count.
+    """
+    used, out = list(range(len(columns_))), np.zeros(len(columns_) + 1)
+    while True:
+        x = np.stack([*[columns_[i] for i in used], np.ones(len(y))], axis=1)
+        beta, ridge = np.zeros(x.shape[1]), np.diag([0.05] * len(used) + [0.0005])
+        for _ in range(25):
+            p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
+            beta += np.linalg.solve((x.T * (p * (1 - p) + 1e-6)) @ x + ridge, x.T @ (y - p) - ridge @ beta)
+        if not used or beta[:-1].min() >= 0:
+            out[[*used, -1]] = beta
+            return out
+        used.pop(int(beta[:-1].argmin()))
 
 
 def train(content: np.ndarray, page: np.ndarray, y: np.ndarray, how: Rounds) -> Model:
