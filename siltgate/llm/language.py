@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
+import regex
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltgate.llm.text import columns, encoded, per_batch
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass(frozen=True)
@@ -104,9 +105,9 @@ def _training_windows(net: Network):
             for i in chosen:
                 if lengths[i]:
                     names.append(lang)
-                    # Every other window is cut short, for short texts.
+                    # Half of the windows are cut short, for short texts; which ones is up to their bytes.
                     cut = windows[i].copy()
-                    if len(parts) % 2:
+                    if xxhash.xxh3_64_intdigest(cut.tobytes()) % 2:
                         cut[max(16, lengths[i] // 4) :] = 0
                     parts.append(cut.tobytes())
         return {"lang": names, "window": parts}
@@ -120,13 +121,16 @@ def fit(docs: DataFrame, eligible: Column, net: Network = Network()) -> Model |
     Of each language about `per_language` rows are taken, by a hash of id and text, and up to three windows of each.
     """
     rows = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(net.languages).collect()
+    # Rows that agree in id and text are one; they are drawn all or none.
+    one = F.approx_count_distinct(F.xxhash64("doc_id", "text"))
+    counts = rows.groupBy("lang").agg(one.alias("count")).orderBy(F.desc("count"), "lang").limit(net.languages).collect()
     if not counts:
         return None
     share = F.lit(0.0)
     for row in counts:
         share = F.when(F.col("lang") == row["lang"], F.lit(min(1.0, net.per_language / row["count"]))).otherwise(share)
-    sample = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < share * 1_000_000).select("lang", "text")
+    sample = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < share * 1_000_000)
+    sample = sample.groupBy("doc_id", "text").agg(F.min("lang").alias("lang")).select("lang", "text")
     got = per_batch(sample, "lang string, window binary", lambda: _training_windows(net)).collect()
     got = sorted((r["lang"], bytes(r["window"])) for r in got)
     names = sorted({lang for lang, _ in got})
