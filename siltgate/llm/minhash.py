@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltgate.llm.graph import components
-from siltgate.llm.text import Scratch, columns, encoded, mixed, per_batch, shingle_hashes
+from siltgate.llm.text import Scratch, columns, encoded, mixed, per_batch, shingle_hashes, sized
 from siltgate.operators.keys import BROADCAST_BYTES
 
 # Bits of the similarity sketch that is compared before sets are.
 SKETCH_BITS = 4096
+# Rows of a component from which on it is joined by broadcast; there is at most one such for as many rows of the input.
+LARGE = 1000
 
 
 @dataclass(frozen=True)
@@ -218,14 +220,23 @@ def near_duplicates(docs: DataFrame, near: Near = Near()) -> DataFrame:
     linked = full.select("doc_id", "mark", "n_shingles", "print").join(found.withColumnRenamed("id", "print"), "print", "left")
     nodes = scratch.keep(linked.withColumn("node", F.coalesce("component", "print")).drop("component"))
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "mark")
-    least = nodes.groupBy("node").agg(F.min("doc_id").alias("component_id"), F.min(place).alias("first"))
+    least = scratch.keep(
+        nodes.groupBy("node").agg(
+            F.min("doc_id").alias("component_id"), F.min(place).alias("first"), F.count(F.lit(1)).alias("members")
+        )
+    )
+    # Of large components there are few, so their rows need not come to one task each.
+    large = least.where(F.col("members") > LARGE)
+    large = sized(large, large.count(), 200)
+    placed_nodes = nodes.join(large, "node").unionByName(
+        nodes.join(large.select("node"), "node", "left_anti").join(least.where(F.col("members") <= LARGE), "node")
+    )
     empty = signed.where("print is null").select(
         "doc_id", "mark", "n_shingles", "print", F.col("doc_id").alias("component_id"), F.lit(True).alias("stays")
     )
     stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
     return (
-        nodes.join(least, "node")
-        .select("doc_id", "mark", "n_shingles", "print", "component_id", stays.alias("stays"))
+        placed_nodes.select("doc_id", "mark", "n_shingles", "print", "component_id", stays.alias("stays"))
         .unionByName(empty)
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
     )

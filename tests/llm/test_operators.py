@@ -17,7 +17,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from siltgate.llm import cotraining, language, queries, toxicity
+from siltgate.llm import cotraining, language, minhash, queries, toxicity
 from siltgate.llm.cascade import RULES, Page, judge, rule_order
 from siltgate.llm.decontamination import contaminated
 from siltgate.llm.minhash import near_duplicates
@@ -159,7 +159,9 @@ def plain_components(docs, percent=85):
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
-def test_near_duplicates_against_all_pairs(spark):
+@pytest.mark.parametrize("large", [1000, 1])
+def test_near_duplicates_against_all_pairs(spark, large, monkeypatch):
+    monkeypatch.setattr(minhash, "LARGE", large)
     random = np.random.default_rng(5)
     texts = []
     for group in range(12):
