@@ -37,6 +37,7 @@ from siltgate.plans.daily import read_loaded, run_load
 from siltgate.plans.increments import Increments, compact, load_day, read_as_of
 from siltgate.sources.feed import scan_csv_named
 from siltgate.sources.quarantine import read_quarantine
+from siltgate.sources.ranges import Ranges, load_ranges, read_ranges
 from siltgate.sources.snapshot import read_snapshot, write_snapshot
 from siltgate.sources.storage import join_path, scratch_folder
 
@@ -68,6 +69,17 @@ def merge_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_as_of(spark, lines)
 
 
+@register(LATEST_LINES_SQL)
+def sorted_merge_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot in order of its key, and days merged into its ranges where they lie."""
+    lines = Ranges(join_path(scratch_folder(spark), "lines"), tuple(LINE_KEY), 6, "l_shipdate")
+    for date, rows in ERAS:
+        kept = load_ranges(spark, lines, table(spark, sf_dir, "lineitem").filter(rows), date)
+    if not kept:
+        raise AssertionError("the bounds were made anew")
+    return read_ranges(spark, lines, date)
+
+
 TOUCHED = "o_orderkey BETWEEN 200 AND 260"
 
 

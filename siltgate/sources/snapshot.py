@@ -52,6 +52,7 @@ def write_snapshot(
     unique_on: Sequence[str] = (),
     buckets: int = 0,
     bucket_key: Sequence[str] = (),
+    sort_buckets: Sequence[str] = (),
     newest: Any = None,
     max_records_per_file: int = 0,
     file_bytes: int = 0,
@@ -63,7 +64,7 @@ def write_snapshot(
     about that size however `df` is skewed. `unique_on` notes a
     key known to be unique in the schema, where parquet keeps it together with the rows. With `buckets` the rows are
     also laid out in that many files by hash of `bucket_key`, by default the unique key; `df` should be partitioned
-    alike, as each of its tasks writes one file per bucket it holds. A snapshot that replaces another is written beside
+    alike, as each of its tasks writes one file per bucket it holds, in order of `sort_buckets`. A snapshot that replaces another is written beside
     it and takes its place when complete, so a run that fails leaves the old one. Bucketed writes and reads need a current database in which the session
     may create and drop a table. The number of rows, observed while they are written, and the `newest` stamp, if given,
     are noted in a small file of the folder.
@@ -95,7 +96,9 @@ def write_snapshot(
                 raise FileExistsError(path)
             name = _table_name()
             try:
-                writer.bucketBy(buckets, *bucket_key).option("path", beside).saveAsTable(name)
+                bucketed = writer.bucketBy(buckets, *bucket_key)
+                bucketed = bucketed.sortBy(*sort_buckets) if sort_buckets else bucketed
+                bucketed.option("path", beside).saveAsTable(name)
             finally:
                 spark.sql(f"DROP TABLE IF EXISTS {name}")
             replace_folder(spark, beside, path)
