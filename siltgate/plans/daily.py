@@ -29,6 +29,7 @@ from siltgate.sources.snapshot import (
     read_bucketed,
     read_history,
     read_note,
+    read_notes,
     read_snapshot,
     snapshot_dates,
     write_snapshot,
@@ -216,12 +217,17 @@ def run_load(
 
     written = _rows(spark, base, run_date)
     dates = [d for d in snapshot_dates(spark, base) if d <= run_date] if contract.merge_mode == "append" else []
-    total = sum(_rows(spark, base, d) for d in dates) if dates else written
+    total = _total(spark, base, dates) if dates else written
     return LoadReport(
         source, run_date, prior_date, written if good_rows is None else good_rows, bad_rows, total, path, by_reason
     )
 
 
+def _total(spark: SparkSession, base: str, dates: list[int]) -> int:
+    noted = [n.get("rows") for n in read_notes(spark, base, dates)]
+    return sum(_rows(spark, base, d) if n is None else n for d, n in zip(dates, noted, strict=True))
+
+
 def _rows(spark: SparkSession, base: str, date: int) -> int:
     noted = read_note(spark, base, date).get("rows")
     return count_rows(read_snapshot(spark, base, date)) if noted is None else noted

@@ -20,6 +20,7 @@ from pyspark.sql.types import StructType
 from siltgate.sources.storage import (
     WITH_MARKER,
     exists,
+    for_each,
     is_complete,
     join_path,
     mode_for,
@@ -67,7 +68,7 @@ def write_snapshot(
     alike, as each of its tasks writes one file per bucket it holds, in order of `sort_buckets`. A snapshot that replaces another is written beside
     it and takes its place when complete, so a run that fails leaves the old one. Bucketed writes and reads need a current database in which the session
     may create and drop a table. The number of rows, observed while they are written, and the `newest` stamp, if given,
-    are noted in a small file of the folder.
+    are noted in a small file of the folder, and so are the types of the columns.
     """
     bucket_key = bucket_key or unique_on
     spark, path = df.sparkSession, snapshot_path(base, load_date)
@@ -103,7 +104,8 @@ def write_snapshot(
                 spark.sql(f"DROP TABLE IF EXISTS {name}")
             replace_folder(spark, beside, path)
     rows = (seen.get or {}).get("rows", 0)
-    write_note(spark, join_path(path, NOTE), json.dumps({"rows": rows, "newest": newest}))
+    types = {f.name: f.dataType.simpleString() for f in df.drop(DATE_COLUMN).schema.fields}
+    write_note(spark, join_path(path, NOTE), json.dumps({"rows": rows, "newest": newest, "types": types}))
     return path
 
 
@@ -123,11 +125,16 @@ def _sizing(spark: SparkSession, file_bytes: int) -> AbstractContextManager:
 
 
 def read_note(spark: SparkSession, base: str, load_date: int) -> dict:
-    """`rows` and `newest` of a snapshot, empty if it was written without a note."""
+    """`rows`, `newest` and `types` of a snapshot, empty if it was written without a note."""
     text = read_note_text(spark, join_path(snapshot_path(base, load_date), NOTE))
     return json.loads(text) if text else {}
 
 
+def read_notes(spark: SparkSession, base: str, dates: Sequence[int]) -> list[dict]:
+    """The notes of several snapshots, in the order of the dates."""
+    return for_each(lambda date: read_note(spark, base, date), dates)
+
+
 def _note_key(df: DataFrame, unique_on: Sequence[str], buckets: int, bucket_key: Sequence[str]) -> DataFrame:
     note = {UNIQUE_ON: list(unique_on), BUCKETS: buckets, BUCKET_KEY: list(bucket_key) if buckets else []}
     first = next(iter(unique_on or bucket_key), None)
@@ -192,7 +199,9 @@ def _dates_below(spark: SparkSession, base: str) -> list[int]:
 
 def snapshot_dates(spark: SparkSession, base: str) -> list[int]:
     """Dates of the complete snapshots, ascending. Lists folder names only; no data file is opened."""
-    return [d for d in _dates_below(spark, base) if is_complete(spark, snapshot_path(base, d))]
+    dates = _dates_below(spark, base)
+    complete = for_each(lambda d: is_complete(spark, snapshot_path(base, d)), dates)
+    return [d for d, there in zip(dates, complete, strict=True) if there]
 
 
 def latest_prior_date(spark: SparkSession, base: str, run_date: int) -> int | None:
@@ -212,18 +221,22 @@ def read_history(
     """All complete snapshots, up to `as_of` if given, with `load_date` as a partition column to prune on.
 
     Under a `schema` columns that older snapshots lack are NULL there, and a snapshot that stores another type under
-    a declared name is refused; without one Spark takes the columns of one of the snapshots.
+    a declared name is refused; without one Spark takes the columns of one of the snapshots. Types are compared by the
+    days' notes, many at a time; no data file is opened but those of days without a note.
     """
     dates = [d for d in snapshot_dates(spark, base) if as_of is None or d <= as_of]
     if not dates:
         raise FileNotFoundError(f"no complete snapshot below {base}")
     reader = spark.read.option("basePath", base)
     if schema is not None:
-        wanted = {f.name.lower(): f.dataType for f in schema.fields}
-        for date in dates:
-            for field in read_snapshot(spark, base, date).schema.fields:
-                if wanted.get(field.name.lower(), field.dataType) != field.dataType:
-                    raise TypeError(f"{date}: {field.name} is {field.dataType.simpleString()} in {base}")
+        wanted = {f.name.lower(): f.dataType.simpleString() for f in schema.fields}
+        for date, note in zip(dates, read_notes(spark, base, dates), strict=True):
+            types = note.get("types")
+            if types is None:
+                types = {f.name: f.dataType.simpleString() for f in read_snapshot(spark, base, date).schema.fields}
+            for name, kind in types.items():
+                if wanted.get(name.lower(), kind) != kind:
+                    raise TypeError(f"{date}: {name} is {kind} in {base}")
         reader = reader.schema(StructType([*schema.fields]).add(DATE_COLUMN, "integer"))
     return reader.parquet(*[snapshot_path(base, d) for d in dates])
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from typing import TypeVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -14,6 +16,9 @@ from pyspark.sql import SparkSession
 # Write option for the `_SUCCESS` marker, which a cluster may have turned off.
 WITH_MARKER = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": True}
 PARKED = "_parked_"
+REQUESTS = 16
+
+T, R = TypeVar("T"), TypeVar("R")
 
 
 def join_path(*parts: str | int) -> str:
@@ -31,6 +36,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def for_each(work: Callable[[T], R], items: Iterable[T]) -> list[R]:
+    """Small requests to a file system, many at a time: they wait, they do not compute."""
+    with ThreadPoolExecutor(REQUESTS) as pool:
+        return list(pool.map(work, items))
+
+
 def is_complete(spark: SparkSession, path: str) -> bool:
     """Whether a Spark job has written this folder to the end."""
     return exists(spark, join_path(path, "_SUCCESS"))

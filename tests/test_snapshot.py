@@ -1,10 +1,13 @@
+import shutil
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from helpers import bag, plan
 from pyspark.errors import AnalysisException
+from pyspark.sql.types import StructType
 
+from siltgate.sources import snapshot
 from siltgate.sources.quarantine import read_quarantine, write_quarantine
 from siltgate.sources.snapshot import (
     bucket_count,
@@ -162,3 +165,22 @@ def test_cluster_without_checkpoint_folder_is_refused(master):
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: default), sparkContext=context)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_folder(session)
+
+
+def test_types_of_a_long_history_are_taken_from_the_notes(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    write_snapshot(spark.createDataFrame([(1, "a")], "k int, v string"), base, 20240101)
+    for day in range(20240102, 20240301):
+        shutil.copytree(tmp_path / "load_date=20240101", tmp_path / f"load_date={day}")
+    schema = StructType.fromDDL("k int, v string, more double")
+    with monkeypatch.context() as patched:
+        patched.setattr(snapshot, "read_snapshot", lambda *_: pytest.fail("a data file was opened"))
+        history = read_history(spark, base, schema=schema)
+        assert history.count() == 200 and history.select("load_date").distinct().count() == 200
+        with pytest.raises(TypeError, match="20240101: k is int"):
+            read_history(spark, base, schema=StructType.fromDDL("k bigint"))
+    # A day without a note is still judged, by its data.
+    write_snapshot(spark.createDataFrame([(1.5,)], "k double"), base, 20240301)
+    remove(spark, join_path(base, "load_date=20240301", snapshot.NOTE))
+    with pytest.raises(TypeError, match="20240301: k is double"):
+        read_history(spark, base, schema=schema)
