@@ -239,8 +239,9 @@ def pack_documents(
         bpe = ByteBpe(json_path, ranks_path)
         packer = Packer(sizes, TaskContext.get().partitionId() << 40)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                packer.add(doc_id, np.frombuffer(bpe.encode(text or "") + end, "<u4"))
+            # Row by row, or the texts of a batch would be there twice.
+            for doc_id, text in zip(batch.column(0), batch.column(1), strict=True):
+                packer.add(doc_id.as_py(), np.frombuffer(bpe.encode(text.as_py() or "") + end, "<u4"))
                 if packer.tokens >= sizes.block_tokens:
                     yield record_batch(kind, packer.flush())
         yield record_batch(kind, packer.flush(last=True))

@@ -12,7 +12,7 @@ import tiktoken
 
 # Texts in which a space may stand within or beside other white space are encoded as a whole.
 _ODD_SPACE = re.compile(r"\s\x20(?:\s|\Z)")
-REMEMBERED_CHUNKS = 400_000
+REMEMBERED_CHUNKS = 200_000
 # Fixed value: the only string that the vocabulary treats as special.
 SPECIAL = "<|endoftext|>"
 
