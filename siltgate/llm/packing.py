@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from siltgate.llm.text import arrow_schema, columns, record_batch
+from siltgate.llm.text import arrow_schema, columns, giving_back, record_batch
 from siltgate.llm.tokens import ByteBpe
 
 PIECES = (
@@ -246,4 +246,4 @@ def pack_documents(
                     yield record_batch(kind, packer.flush())
         yield record_batch(kind, packer.flush(last=True))
 
-    return columns(docs, doc_id="long", text="string").mapInArrow(run, schema)
+    return columns(docs, doc_id="long", text="string").mapInArrow(giving_back(run), schema)

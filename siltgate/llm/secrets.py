@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from siltgate.llm.text import columns, encoded, per_batch
+from siltgate.llm.text import columns, encoded, giving_back, per_batch
 
 # The kinds of secrets, in the order in which spans that start together are listed.
 ASSIGN = re.compile(
@@ -372,4 +372,4 @@ def mask_secrets(docs: DataFrame, how: Unwrapping = Unwrapping()) -> DataFrame:
             made = [pa.array(new[f.name], f.type) if f.name in new else batch.column(f.name) for f in kind]
             yield pa.RecordBatch.from_arrays(made, schema=kind)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(giving_back(run), docs.schema)

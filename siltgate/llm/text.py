@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 from typing import Any
 
@@ -96,6 +97,18 @@ def record_batch(kind: pa.Schema, made: dict[str, Any]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in kind], schema=kind)
 
 
+def giving_back(run: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """`run`, and what its task has freed goes back to the system: Python workers live on and would keep it."""
+
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc
+            trim(0)
+
+    return whole
+
+
 def per_batch(frame: DataFrame, schema: str, prepare: Callable[[], Callable[..., Any]]) -> DataFrame:
     """`frame` batch by batch through Python, without a shuffle.
 
@@ -113,7 +126,7 @@ def per_batch(frame: DataFrame, schema: str, prepare: Callable[[], Callable[...,
                 for part in [made] if isinstance(made, dict) else made:
                     yield record_batch(kind, part)
 
-    return frame.mapInArrow(run, schema)
+    return frame.mapInArrow(giving_back(run), schema)
 
 
 def without(docs: DataFrame, rejected: DataFrame, text: str = "text") -> DataFrame:
