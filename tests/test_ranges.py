@@ -106,6 +106,56 @@ def test_a_day_at_the_end_of_the_key_has_the_table_dealt_out_anew(spark, tmp_pat
     assert len(ordered(read_ranges(spark, table, 20240102), ["k"])) == 1200
 
 
+def largest(spark, folder, date):
+    """Ranges of a snapshot, and the rows of the largest."""
+    counts = [r["count"] for r in read_snapshot(spark, folder, date).groupBy(ranges.LABEL).count().collect()]
+    return len(counts), max(counts)
+
+
+def test_a_range_does_not_grow_with_the_table(spark, tmp_path):
+    """Ten times the rows make more ranges, not larger ones; nulls, repeated rows and wide text count as they are."""
+    row = ["nullif(id, 7) k", "repeat('x', 200) v", "timestamp '2024-01-01' time_stamp"]
+    for size in (2000, 20000):
+        folder = join_path(str(tmp_path), size)
+        table, rows = Ranges(folder, ("k",), 2, range_bytes=1 << 16), spark.range(size).selectExpr(*row)
+        load_ranges(spark, table, rows.unionAll(rows), 20240101)
+        number, most = largest(spark, folder, 20240101)
+        assert number >= size * 288 / (1 << 16) * 0.8 and most * 288 <= 2 * (1 << 16)
+        got = read_ranges(spark, table, 20240101)
+        assert got.rdd.getNumPartitions() == number and bag(got) == bag(rows)
+        ordered(got, ["k"])
+
+
+def test_a_table_that_outgrows_its_ranges_is_dealt_out_in_more_of_them(spark, tmp_path):
+    """Days spread over all ranges, each twice the first: the bounds serve until a range is full, and after that again."""
+    folder = str(tmp_path)
+    table, days, served = Ranges(folder, ("k",), 2, range_bytes=1 << 16), [], []
+    for n in range(5):
+        held = f"id * 10 + {n} k", "repeat('x', 200) v", f"timestamp '2024-01-0{n + 1}' time_stamp"
+        days.append(spark.range(300 if n == 0 else 600).selectExpr(*held).withColumn("k", F.col("k") / (1 if n == 0 else 2)))
+        served.append(load_ranges(spark, table, days[-1], 20240101 + n))
+        number, most = largest(spark, folder, 20240101 + n)
+        assert most * 288 <= ranges.FULL * (1 << 16)
+        got = read_ranges(spark, table, 20240101 + n)
+        assert bag(got) == bag(latest_per_key(reduce(DataFrame.unionByName, days), ("k",)))
+        ordered(got, ["k"])
+    assert served[0] is False and True in served[1:] and False in served[1:] and number > 2
+
+
+def test_a_wider_day_counts_by_its_text(spark, tmp_path):
+    """The same keys with far longer text fill the ranges; the table is dealt out anew once, then the bounds serve."""
+    table = Ranges(str(tmp_path), ("k",), 2, range_bytes=1 << 16)
+
+    def day(n, width):
+        return spark.range(400).selectExpr("id k", f"repeat('x', {width}) v", f"timestamp '2024-01-0{n}' time_stamp")
+
+    assert not load_ranges(spark, table, day(1, 1), 20240101)
+    assert not load_ranges(spark, table, day(2, 4000), 20240102)
+    assert load_ranges(spark, table, day(3, 4000), 20240103)
+    assert largest(spark, str(tmp_path), 20240103)[0] > 10
+    assert bag(read_ranges(spark, table, 20240103)) == bag(day(3, 4000))
+
+
 def test_empty_tables_and_columns_that_come(spark, tmp_path):
     table, none = Ranges(str(tmp_path), ("k",), 4), spark.createDataFrame([], "k int, time_stamp timestamp")
     load_ranges(spark, table, none, 20240101)
