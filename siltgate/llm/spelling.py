@@ -93,7 +93,7 @@ def word_counts(docs: DataFrame, how: Variants = Variants()) -> DataFrame:
 
 def _bytes_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The letters of all words, one byte each as all are Latin-1, and the lengths."""
-    return np.frombuffer("".join(words).encode("latin-1"), np.uint8), np.array([len(w) for w in words])
+    return np.frombuffer("".join(words).encode("latin-1"), np.uint8), np.array([len(w) for w in words], np.int64)
 
 
 def _letters(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -5,11 +5,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from siltgate.llm.spelling import Blocks, Variants, _bytes_of, one_edit, spelling_variants
+from siltgate.llm.spelling import Blocks, Variants, _bytes_of, _near, one_edit, spelling_variants
 
 DOCS = "doc_id long, text string, word string, n string, block string"
 
@@ -86,6 +87,25 @@ def test_variants_of_nothing(spark):
     assert spelling_variants(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_words_without_a_near_block(spark):
+    # No block holds two of these words, so a task has rows but no pairs to compare.
+    words = ["banana", "straße", "éclair"]
+    docs = spark.createDataFrame([(1, " ".join(words * 6), "w", "n", "b")], DOCS)
+    made = {tuple(r) for r in spelling_variants(docs).collect()}
+    assert made == {(w, None, w, 6, 0, None) for w in words}
+
+
+def test_batch_without_pairs_before_others(spark):
+    # As many lone words as a task holds before it compares, then two words of one block.
+    blocks = Blocks(np.arange(256) % 5, 5)
+    lone = [(k, 0, -1, f"w{k}", 5) for k in range(1 << 16)]
+    # n and c are of the groups 0 and 4, which the blocks numbered 3 leave free.
+    near = [(-1 << 8 | 3, 0, -1, word, 5) for word in ("banana", "bacana")]
+    names = ["block", "cell", "side", "word", "n"]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(names, row, strict=True)) for row in rows]) for rows in (lone, near)]
+    assert [b.num_rows for b in _near(blocks, Variants())(batches)] == [0, 2]
+
+
 LETTERS = st.text("abcÿ×", min_size=1, max_size=9)
 
 
